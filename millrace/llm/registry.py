@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import pieces, simhash
+from millrace.llm import lines, perspectives, pieces, simhash
 from millrace.llm.common import table
 
 
@@ -13,13 +13,21 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op8_sentencepiece)}
+    return {f.__name__: f for f in (op3_simhash_near_dedup, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece)}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op5_perspective_rotation": perspectives.ORACLE, "op6_line_dedup": lines.ORACLE}
