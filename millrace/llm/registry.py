@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import lines, perspectives, pieces, simhash
+from millrace.llm import lines, packing, perspectives, pieces, simhash
 from millrace.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.rotate(table(spark, sf_dir, "conversations"))
 
@@ -26,7 +30,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece)}
+    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece)}
 
 
 def oracle_sql() -> dict:
