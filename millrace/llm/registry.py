@@ -29,8 +29,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece)}
+    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece, op9_spotsigs)}
 
 
 def oracle_sql() -> dict:
