@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import lines, packing, perspectives, pieces, simhash
+from millrace.llm import lines, packing, perspectives, pieces, pii, simhash
 from millrace.llm.common import table
 
 
@@ -33,8 +33,12 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece, op9_spotsigs)}
+    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece, op9_spotsigs, op10_pii)}
 
 
 def oracle_sql() -> dict:
