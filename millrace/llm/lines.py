@@ -3,7 +3,7 @@
 Only DataFrame functions run here. A rolling hash over the hashes of neighbouring lines decides, from these
 lines alone, where a chunk ends, so chunks fall alike wherever a passage is moved. Divisors nest: coarser
 chunks are unions of finer ones and cover what the finest leaves as single lines. Chunks meet by hash; the
-texts of those that do are compared byte by byte.
+texts of those that do are compared byte by byte. Joins are sort-merge joins at every size: either side may be large, and AQE splits hot keys.
 """
 
 from __future__ import annotations
@@ -71,13 +71,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", diviso
     twice = marks.groupBy("h").agg(F.min(F.struct("_k", "_v", "s")).alias("lo"), F.max(F.struct("_k", "_v", "s")).alias("hi")).where("lo <> hi").select("h")
     wanted = marks.join(twice, "h", "left_semi").groupBy("_k", "_v").agg(F.collect_set(F.struct("s", "n")).alias("_want"))
     # Byte comparison: the texts of chunks whose hashes repeat, grouped by the text itself.
-    held = own.join(wanted, ["_k", "_v"]).withColumn("_lines", F.split("_t", "\n"))
+    held = own.join(wanted.hint("merge"), ["_k", "_v"]).withColumn("_lines", F.split("_t", "\n"))
     held = held.select("_k", "_v", F.explode(F.transform("_want", lambda c: F.struct(c["s"].alias("s"), c["n"].alias("n"), _chunk_text(c).alias("x")))).alias("c")).select("_k", "_v", "c.*")
     held = materialize(held, "held")
     first = held.groupBy("x").agg(F.min(F.struct("_k", "_v", "s")).alias("first"), F.max(F.struct("_k", "_v", "s")).alias("last")).where("first <> last").select("x", "first")
-    gone = held.join(first, "x").where(F.struct("_k", "_v", "s") != F.col("first")).groupBy("_k", "_v").agg(F.collect_set(F.struct("s", "n")).alias("_gone"))
+    first = materialize(first, "first")  # else the join below would reuse the aggregate's exchange, which cannot be split
+    gone = held.join(first.hint("merge"), "x").where(F.struct("_k", "_v", "s") != F.col("first")).groupBy("_k", "_v").agg(F.collect_set(F.struct("s", "n")).alias("_gone"))
     gone = materialize(gone, "gone")
-    out = docs.withColumns(dict(zip(("_k", "_v"), (c for c in (F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))), strict=True))).join(gone, ["_k", "_v"], "left")
+    out = docs.withColumns(dict(zip(("_k", "_v"), (c for c in (F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))), strict=True))).join(gone.hint("merge"), ["_k", "_v"], "left")
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (i >= g["s"]) & (i < g["s"] + g["n"])))
     out = out.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
