@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import lines, packing, perspectives, pieces, pii, simhash
+from millrace.llm import decontaminate, lines, packing, perspectives, pieces, pii, simhash
 from millrace.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -38,7 +42,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op8_sentencepiece, op9_spotsigs, op10_pii)}
+    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op7_decontamination, op8_sentencepiece, op9_spotsigs, op10_pii)}
 
 
 def oracle_sql() -> dict:
