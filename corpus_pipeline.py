@@ -1,20 +1,68 @@
-"""A document pipeline of five stages, each the predecessor's rows through one operator."""
+"""A document pipeline of five stages: toxicity, line dedup, near-duplicates, decontamination, subword digests.
+
+Every stage takes what its predecessor kept, written as Parquet and read again; all but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from millrace.llm import decontaminate, lines, pieces, simhash, toxicity
+from millrace.llm.common import materialize, table
+
+#: Near-duplicates: words in a shingle, differing bits of 64 (a similarity above 0.8), rarest shingles to meet by.
+WIDTH, RADIUS, MEETINGS = 5, 12, 6
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below one half."""
+    weights, bias = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, weights, bias).where("score < 0.5").drop("score")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the multi-line chunks that an earlier document has; n_chars follows the text."""
+    out = lines.dedup_lines(docs)
+    return out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
 
-STAGES: list = []
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the least id; rows that repeat an id count once."""
+    found = simhash.near_duplicates(docs, WIDTH, RADIUS, meetings=MEETINGS)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return docs.join(gone, "doc_id", "left_anti").withColumn("_again", again).where("_again = 1 or doc_id is null").select(docs.columns)
 
-#: SimHash and subword digests are not expressible in SQL; tests hold the stages against brute force.
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The subword digests of the documents that are left."""
+    return pieces.piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("sentencepiece", encode),
+]
+
+#: The stages are not expressible in SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    from millrace.llm.common import materialize, table
-
+    """All stages over documents, each written to the shared folder and read again; the last one's rows are returned."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, lines, packing, perspectives, pieces, pii, simhash
+from millrace.llm import decontaminate, lines, packing, perspectives, pieces, pii, simhash, spotsigs, toxicity
 from millrace.llm.common import table
 
 

@@ -23,37 +23,59 @@ TILE = 1024
 SPLIT = 16_384
 
 
-def fingerprint(text: str, width: int) -> int:
-    """The fingerprint of one text: a bit is set if it is set in over half the hashes of the word shingles."""
+def shingle_hashes(text: str, width: int):
+    """XXH64, seed 42, of each word shingle, repeats included; the whole sequence where there are fewer words."""
     import numpy as np
     import xxhash
 
     words = text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space parts
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     flat, h = b" ".join(words), xxhash.xxh64_intdigest
     lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lens)
     first, last = (ends - lens).tolist(), (ends - 1).tolist()
-    hashes = np.array([h(flat[a:b], 42) for a, b in zip(first, last[width - 1 :], strict=False)] or [h(flat, 42)], np.uint64)
+    return np.array([h(flat[a:b], 42) for a, b in zip(first, last[width - 1 :], strict=False)] or [h(flat, 42)], np.uint64)
+
+
+def fingerprint(hashes) -> int:
+    """A bit is set if it is set in over half the hashes; no hashes: 0."""
+    import numpy as np
+
     bits = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), 65_536):
         bits += np.unpackbits(hashes[i : i + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(bits * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp): fp is the fingerprint's 64 bits as a signed long. Null and wordless texts: 0."""
+def rarest(hashes, n: int):
+    """The least hash under each of n permutations: two texts share one with a chance of their Jaccard similarity."""
+    import numpy as np
+
+    odd = np.random.default_rng(23).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    mixed = hashes ^ (hashes >> np.uint64(31))
+    return [int((mixed * k).min()) if len(hashes) else 0 for k in odd]
+
+
+def fingerprints(docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text", meetings: int = 0) -> DataFrame:
+    """(key, fp, meet): fp is the fingerprint's 64 bits as a signed long, meet the text's rarest shingles' hashes.
+
+    Null and wordless texts: 0.
+    """
 
     def run(stream) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches(stream, 2048, 8_000_000, text):
-            fps = [fingerprint(t or "", width) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(np.array(fps, np.uint64).view(np.int64))], [key, "fp"])
+            fps, meet = [], []
+            for t in batch.column(text).to_pylist():
+                hashes = shingle_hashes(t or "", width)
+                fps.append(fingerprint(hashes))
+                meet.append(np.array(rarest(hashes, meetings), np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(meet, pa.list_(pa.int64()))], [key, "fp", "meet"])
 
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, f"{key} long, fp long")
+    return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, f"{key} long, fp long, meet array<long>")
 
 
 def forest(fps, ids, radius: int, cut: int = 0):
@@ -89,17 +111,20 @@ def forest(fps, ids, radius: int, cut: int = 0):
     return [(int(ids[p]), int(ids[q])) for p, q in out]
 
 
-def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
-    """A spanning forest (a, b) of the links between the nodes (id, fp): fingerprints within the radius, each once.
+def links(nodes: DataFrame, radius: int = 3, meetings: int = 0) -> DataFrame:
+    """A spanning forest (a, b) of the links between the nodes (id, fp, meet): fingerprints within the radius.
 
-    fp must be distinct. Edges join what links join; they are links themselves.
+    Without meetings, all links: nodes meet where a block of bits is equal, fp must be distinct. With them, the
+    links of nodes that share one of their rarest shingles: blocks of bits no longer part anything at a wide
+    radius. Edges join what links join; they are links themselves.
     """
     blocks = radius + 1
     width = -(-BITS // blocks)
-    keyed = nodes.select("id", "fp", F.posexplode(F.array(*(F.expr(f"shiftrightunsigned(fp, {i * width})").bitwiseAND((1 << width) - 1 if width < 63 else -1) for i in range(blocks)))).alias("block", "value"))
+    bits = F.array(*(F.expr(f"shiftrightunsigned(fp, {i * width})").bitwiseAND((1 << width) - 1 if width < 63 else -1) for i in range(blocks)))
+    keyed = nodes.select("id", "fp", F.posexplode(F.col("meet") if meetings else bits).alias("block", "value"))
     # Parts: 1 for nearly every bucket. Their number comes from a count per bucket, combined before the shuffle.
     counts = keyed.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / SPLIT).cast("int"))
-    keyed = keyed.join(counts, ["block", "value"]).withColumn("part", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int"))
+    keyed = keyed.join(counts, ["block", "value"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int"))
     # A part meets every part of its bucket: the task (low, high) holds the rows of both.
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     units = keyed.withColumn("with", other).select("block", "value", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "id", "fp")
@@ -161,17 +186,20 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     return units.repartition(*unit).sortWithinPartitions(*unit, "part").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text", meetings: int = 0) -> DataFrame:
     """(key, fingerprint, component_id) of every document.
 
+    meetings: 0 for all links within the radius; for wide radii the number of rarest shingles, of which linked
+    texts must share one (texts of Jaccard similarity J miss each other with a chance of (1 - J) ** meetings).
+
     fingerprint: 16 hexadecimal digits; component_id: the smallest key reachable by links, its own included.
     Null, empty and wordless texts have fingerprint zero and link like any other. Equal texts share a
     fingerprint; each distinct fingerprint is compared once. A null key stays null and is never a component's
     id unless all keys with that fingerprint are null, and then it has no links. Rows that repeat give equal
     rows; an empty table gives none; other columns are left out.
     """
-    prints = materialize(fingerprints(docs, width, key, text), "prints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min(key).alias("id")), "nodes")
-    found = components(links(nodes.where("id is not null"), radius))
-    named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    prints = materialize(fingerprints(docs, width, key, text, meetings), "prints")
+    nodes = materialize(prints.groupBy("fp", "meet").agg(F.min(key).alias("id")), "nodes")
+    found = components(links(nodes.where("id is not null"), radius, meetings))
+    named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("fp", "meet", F.coalesce("component", "id").alias("component_id"))
+    return prints.join(named, ["fp", "meet"]).select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
