@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, lines, packing, perspectives, pieces, pii, simhash, spotsigs, toxicity
+from millrace.llm import decontaminate, lines, packing, perspectives, pieces, pii, runindex, simhash, spotsigs, toxicity
 from millrace.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runindex.dedup_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
@@ -42,7 +50,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op7_decontamination, op8_sentencepiece, op9_spotsigs, op10_pii)}
+    return {f.__name__: f for f in (op1_toxicity, op2_run_length_index, op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op7_decontamination, op8_sentencepiece, op9_spotsigs, op10_pii)}
 
 
 def oracle_sql() -> dict:
