@@ -52,8 +52,17 @@ def align(item, passage):
     return best, int(j), end, equal
 
 
-def grams(words: list[str], n: int = SEED) -> list[str]:
-    return [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] or ([" ".join(words)] if words else [])
+def grams(words: list[str], n: int = SEED) -> list[tuple]:
+    """The n-grams of an item; all its words where there are fewer."""
+    return list(zip(*(words[i:] for i in range(n)), strict=False)) or ([tuple(words)] if words else [])
+
+
+def places(words: list[str], wanted, sizes) -> Iterator[tuple[int, tuple]]:
+    """(place, n-gram) of the wanted n-grams, which have these sizes, in a text."""
+    for n in sizes:
+        own = list(zip(*(words[i:] for i in range(n)), strict=False))
+        if not wanted.isdisjoint(own):
+            yield from ((i, g) for i, g in enumerate(own) if g in wanted)
 
 
 def seeds(items: list, counts: dict) -> dict:
@@ -80,18 +89,16 @@ def spans(hits: list, length: int, n_words: int) -> list:
     return out
 
 
-def match_text(text: str, items: list, table: dict, firsts: set, numbers: dict, coded: list, least: float) -> list:
+def match_text(text: str, items: list, table: dict, sizes: list, numbers: dict, coded: list, least: float) -> list:
     """(item number, score, start, end, equal words) of each item's best passage, if good enough; places are code points."""
     import numpy as np
 
     low = text.lower()
     words = WORDS.findall(low)
     found: dict = {}
-    for i, w in enumerate(words):
-        if w in firsts:
-            for n in (1, SEED):
-                for k, place in table.get(" ".join(words[i : i + n]), ()):
-                    found.setdefault(k, []).append((i, place))
+    for i, g in places(words, table.keys(), sizes):
+        for k, place in table[g]:
+            found.setdefault(k, []).append((i, place))
     if not found:
         return []
     code = np.array([numbers.get(w, -1) for w in words])
@@ -101,8 +108,8 @@ def match_text(text: str, items: list, table: dict, firsts: set, numbers: dict,
         score, first, end, equal, a = max(tries, key=lambda x: (x[0], -x[4]))
         score /= MATCH * len(items[k])
         if score >= least:
-            places = [m.span() for m in WORDS.finditer(low)] if len(low) == len(text) else [m.span() for m in WORDS.finditer(text)]
-            start, stop = places[a + first][0], places[a + end - 1][1]
+            at = [m.span() for m in WORDS.finditer(low if len(low) == len(text) else text)]
+            start, stop = at[a + first][0], at[a + end - 1][1]
             out.append((k, score, start, stop, equal))
     return out
 
@@ -138,18 +145,13 @@ def _block(docs: DataFrame, ids: list, items: list, key: str, text: str, schema:
         import pyarrow as pa
 
         wanted = {g: i for i, g in enumerate(all_grams)}
-        firsts, totals = {g.split(" ", 1)[0] for g in wanted}, [0] * len(wanted)
+        sizes, keys, totals = sorted({len(g) for g in wanted}), wanted.keys(), [0] * len(wanted)
         for batch in batches(stream, 1024, 4_000_000, text):
             for t in batch.column(text).to_pylist():
-                words, got = WORDS.findall((t or "").lower()), set()
-                for i, w in enumerate(words):
-                    if w in firsts:
-                        for n in (1, SEED):
-                            g = wanted.get(" ".join(words[i : i + n]))
-                            if g is not None:
-                                got.add(g)
-                for g in got:
-                    totals[g] += 1
+                words = WORDS.findall((t or "").lower())
+                for n in sizes:
+                    for g in keys & set(zip(*(words[i:] for i in range(n)), strict=False)):
+                        totals[wanted[g]] += 1
         yield pa.RecordBatch.from_arrays([pa.array([i for i, n in enumerate(totals) if n], pa.int32()), pa.array([n for n in totals if n], pa.int64())], ["g", "n"])
 
     # One row at most per n-gram of the block, whatever the number of documents.
@@ -162,9 +164,9 @@ def _block(docs: DataFrame, ids: list, items: list, key: str, text: str, schema:
 
         numbers = {w: i for i, w in enumerate(sorted({w for words in items for w in words}))}
         coded = [np.array([numbers[w] for w in words]) for words in items]
-        firsts = {g.split(" ", 1)[0] for g in index}
+        sizes = sorted({len(g) for g in index})
         for batch in batches(stream, 1024, 4_000_000, text):
-            out = [(d, ids[k], *rest) for d, t in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist(), strict=True) if t for k, *rest in match_text(t, items, index, firsts, numbers, coded, least)]
+            out = [(d, ids[k], *rest) for d, t in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist(), strict=True) if t for k, *rest in match_text(t, items, index, sizes, numbers, coded, least)]
             columns = list(zip(*out, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
