@@ -1,0 +1,195 @@
+"""Chat records: roles, contents, reasoning and tool calls, as expressions over arrays of structs."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from millrace.functions.coerce import blank_to_null, strip
+
+#: Role names and what they normalize to.
+ROLES = {
+    "system": "system", "developer": "system",
+    "user": "user", "human": "user",
+    "assistant": "assistant", "ai": "assistant", "bot": "assistant", "gpt": "assistant", "model": "assistant",
+    "tool": "tool", "function": "tool", "toolresult": "tool", "tool_result": "tool", "environment": "tool", "observation": "tool",
+}
+CALLS = "array<struct<function:struct<name:string,arguments:string>>>"
+EMPTY_THINK = r"^\s*<think>\s*</think>\s*$"
+THINK = r"(?s)<think>(.*?)</think>"
+
+
+def normalize_role(col: Column) -> Column:
+    """The normal name of a role, or null where the message must be dropped."""
+    return F.element_at(F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair)), F.lower(strip(col)))
+
+
+def _present(col: Column) -> Column:
+    return F.length(strip(F.coalesce(col, F.lit("")))) > 0
+
+
+def merge_thinking(reasoning: Column, content: Column) -> Column:
+    """The reasoning in think tags before the content; content that already starts with them stays as it is."""
+    body = F.coalesce(content, F.lit(""))
+    joined = F.concat(F.lit("<think>\n"), F.coalesce(reasoning, F.lit("")), F.lit("\n</think>\n"), body)
+    joined = F.when(body == "", F.regexp_replace(joined, "\n$", "")).otherwise(joined)
+    return F.when(reasoning.isNull() & body.startswith("<think>"), body).otherwise(joined)
+
+
+def _flatten(value) -> tuple[str, str, list]:
+    """(text, reasoning, tool calls) of a decoded content value: a string, a part or a list of parts."""
+    if value is None:
+        return "", "", []
+    if isinstance(value, str):
+        return value, "", []
+    texts, thoughts, calls = [], [], []
+    for part in value if isinstance(value, list) else [value]:
+        if isinstance(part, str):
+            texts.append(part)
+            continue
+        if not isinstance(part, dict):
+            texts.append(json.dumps(part, ensure_ascii=False))
+            continue
+        kind = str(part.get("type") or "").lower()
+        body = next((part[k] for k in ("text", "value", "content") if isinstance(part.get(k), str)), None)
+        if kind in ("thinking", "reasoning"):
+            thoughts.append(part.get("thinking") or part.get("reasoning") or body or "")
+        elif kind in ("toolcall", "tool_call"):
+            name, given = part.get("name") or part.get("toolName"), part.get("arguments")
+            if name:
+                calls.append({"function": {"name": name, "arguments": given if isinstance(given, str) else json.dumps(given)}})
+        elif body is not None:
+            texts.append(body)
+        elif isinstance(part.get("output"), dict):
+            texts.append(str(part["output"].get("value", "")))
+        else:
+            texts.append(json.dumps(part, ensure_ascii=False))
+    return "\n".join(t for t in texts if t), "\n".join(t for t in thoughts if t), calls
+
+
+def content_parts(raw: Column) -> Column:
+    """struct<text, reasoning, tool_calls> of a content given as text or as JSON parts.
+
+    Plain text needs no Python: only contents that start like JSON lists or objects are decoded there.
+    """
+    import pandas as pd
+
+    def run(batch: pd.Series) -> pd.DataFrame:
+        out = []
+        for x in batch:
+            try:
+                value = json.loads(x)
+            except (TypeError, ValueError):
+                value = x
+            out.append(_flatten(value if isinstance(value, (list, dict)) else x))
+        return pd.DataFrame({"text": [x[0] for x in out], "reasoning": [x[1] for x in out], "tool_calls": [json.dumps(x[2]) for x in out]})
+
+    parsed = F.pandas_udf(run, "text string, reasoning string, tool_calls string")(raw)
+    return F.struct(parsed["text"].alias("text"), blank_to_null(parsed["reasoning"]).alias("reasoning"), F.from_json(parsed["tool_calls"], CALLS).alias("tool_calls"))
+
+
+def valid_calls(calls: Column) -> Column:
+    """Whether any call has a name and arguments that are a JSON object or list."""
+    return F.coalesce(F.exists(calls, lambda c: _present(c["function"]["name"]) & c["function"]["arguments"].rlike(r"^\s*[\[{]")), F.lit(False))
+
+
+def normalize_calls(text: Column) -> Column:
+    """Tool calls from JSON text: one object or a list of them; those without a name go."""
+    body = F.when(text.rlike(r"^\s*\{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    nested = F.from_json(body, "array<struct<function:struct<name:string,arguments:string>,name:string,arguments:string>>")
+    named = F.transform(nested, lambda c: F.struct(F.struct(F.coalesce(c["function"]["name"], c["name"]).alias("name"), F.coalesce(c["function"]["arguments"], c["arguments"]).alias("arguments")).alias("function")))
+    return F.filter(named, lambda c: _present(c["function"]["name"]))
+
+
+def serialize_calls(calls: Column) -> Column:
+    """Each call as JSON in tool_call tags, one after the other."""
+    one = lambda c: F.concat(F.lit('<tool_call>\n{"name": "'), c["function"]["name"], F.lit('", "arguments": '), F.coalesce(c["function"]["arguments"], F.lit("{}")), F.lit("}\n</tool_call>"))
+    return F.array_join(F.transform(calls, one), "\n")
+
+
+def normalize_raw(messages: Column) -> Column:
+    """Raw messages as normal ones: key chains for role, content, reasoning and calls; unknown roles go."""
+
+    def one(m):
+        reasoning = F.coalesce(*(blank_to_null(m[k]) for k in ("reasoning_content", "reasoning", "thinking", "thought")))
+        calls = normalize_calls(F.coalesce(m["tool_calls"], m["function_calls"], m["function_call"]))
+        loss = F.when(~F.coalesce(m["loss"], m["trainable"], F.lit(True)), F.lit(False))
+        return F.struct(
+            normalize_role(F.coalesce(m["role"], m["from"], m["speaker"])).alias("role"),
+            F.coalesce(m["content"], m["value"], m["text"], m["system_prompt"]).alias("content"),
+            reasoning.alias("reasoning_content"), calls.alias("tool_calls"), loss.alias("loss"), F.lit(None).cast("double").alias("loss_weight"),
+        )
+
+    return F.filter(F.transform(messages, one), lambda m: m["role"].isNotNull())
+
+
+def drop_blank_system_prefix(messages: Column) -> Column:
+    """The messages from the first that is no blank system message on."""
+    keep = F.transform(messages, lambda m: (m["role"] != "system") | _present(m["content"]))
+    first = F.array_position(keep, F.lit(True))
+    return F.when(first == 0, F.slice(messages, 1, 0)).otherwise(F.slice(messages, F.greatest(first, F.lit(1)).cast("int"), F.size(messages)))
+
+
+def has_target(m: Column) -> Column:
+    """Whether an assistant message has something to learn: a call, or content beyond an empty think block."""
+    said = _present(m["content"]) & ~F.coalesce(m["content"].rlike(EMPTY_THINK), F.lit(False))
+    return (m["role"] == "assistant") & ((F.coalesce(F.size(m["tool_calls"]), F.lit(0)) > 0) | said)
+
+
+def has_reasoning(m: Column) -> Column:
+    return _present(m["reasoning_content"]) | _present(F.regexp_extract(F.coalesce(m["content"], F.lit("")), THINK, 1))
+
+
+def normalized_rows(df, messages: str = "messages"):
+    """df with normal messages, without rows that hold no assistant target."""
+    out = df.withColumn(messages, drop_blank_system_prefix(normalize_raw(F.col(messages))))
+    return out.where(F.exists(messages, has_target))
+
+
+def prompt_response(prompt: Column, response: Column, context: Column | None = None) -> Column:
+    """Two messages from a question and its answer; a context follows the prompt after an empty line."""
+    asked = prompt if context is None else F.concat_ws("\n\n", prompt, blank_to_null(context))
+    turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    return F.array(turn("user", asked), turn("assistant", response))
+
+
+def swift_view(messages: Column) -> Column:
+    """Messages of user, assistant and system only: tool turns become user turns in tool_response tags, neighbours of
+    which merge; what follows the last assistant turn goes; without one the result is empty."""
+    view = F.transform(messages, lambda m: F.struct(
+        F.when(m["role"] == "tool", "user").otherwise(m["role"]).alias("role"),
+        F.when(m["role"] == "tool", F.concat(F.lit("<tool_response>\n"), F.coalesce(m["content"], F.lit("")), F.lit("\n</tool_response>"))).otherwise(F.coalesce(m["content"], F.lit(""))).alias("content"),
+        (m["role"] == "tool").alias("tool"),
+    ))
+    kind = "array<struct<role:string,content:string,tool:boolean>>"
+
+    def step(done, m):
+        last = F.element_at(done, F.size(done))
+        merged = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["role"].alias("role"), F.concat(last["content"], F.lit("\n"), m["content"]).alias("content"), last["tool"].alias("tool"))))
+        join = (F.size(done) > 0) & m["tool"] & F.coalesce(F.try_element_at(done, F.greatest(F.size(done), F.lit(1)))["tool"], F.lit(False))
+        return F.when(join, merged).otherwise(F.concat(done, F.array(m)))
+
+    folded = F.aggregate(view, F.array().cast(kind), step)
+    last = F.size(folded) - F.coalesce(F.nullif(F.array_position(F.transform(F.reverse(folded), lambda m: m["role"]), "assistant"), F.lit(0)), F.size(folded) + 1) + 1
+    return F.transform(F.slice(folded, F.lit(1), last.cast("int")), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+
+
+def mask_failed_turns(messages: Column) -> Column:
+    """Messages with loss false on each assistant turn whose next turn reports a return code other than zero."""
+
+    def one(m, i):
+        after = F.get(messages, i + 1)
+        codes = F.regexp_extract_all(F.coalesce(after["content"], F.lit("")), F.lit(r"<returncode>(-?\d+)</returncode>"), 1)
+        failed = (m["role"] == "assistant") & F.coalesce(after["role"].isin("user", "tool"), F.lit(False)) & F.exists(codes, lambda c: c != "0")
+        return m.withField("loss", F.when(failed, F.lit(False)).otherwise(m["loss"]))
+
+    return F.transform(messages, one)
+
+
+def reasoning_metrics(messages: Column) -> dict[str, Column]:
+    """Assistant turns, those with reasoning, and their share."""
+    turns = F.filter(messages, lambda m: m["role"] == "assistant")
+    n, r = F.size(turns), F.size(F.filter(turns, has_reasoning))
+    return {"n_assistant": n, "n_reasoning": r, "share_reasoning": F.when(n > 0, r / n).otherwise(F.lit(0.0))}

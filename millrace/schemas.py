@@ -1,0 +1,12 @@
+"""Schemas of nested chat records and of the flat index."""
+
+from __future__ import annotations
+
+TOOL_CALL = "struct<function:struct<name:string,arguments:string>>"
+MESSAGE = f"struct<role:string,content:string,reasoning_content:string,tool_calls:array<{TOOL_CALL}>,loss:boolean,loss_weight:double>"
+EXAMPLE = f"uuid string, task_id string, messages array<{MESSAGE}>"
+#: A raw message as it may come: alternative keys for role, content, reasoning and tools; nested values stay JSON text.
+RAW_MESSAGE = "struct<role:string,`from`:string,speaker:string,content:string,value:string,text:string,system_prompt:string,reasoning_content:string,reasoning:string,thinking:string,thought:string,tool_calls:string,function_calls:string,function_call:string,loss:boolean,trainable:boolean>"
+REASONING = "array<struct<message_index:int,path:string,content:string>>"
+TASK = "instance_id string, repo string, language string, difficulty string, confidence string, num_modified_files string, num_modified_lines string, fail_to_pass_count string, pass_to_pass_count string"
+PACKED = "input_ids array<bigint>, labels array<bigint>, loss_weights array<float>, position_ids array<bigint>, seq_lens array<int>, attention_mask array<bigint>"
