@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import conversations
+from millrace.plans import conversations, relational
 
-MODULES = (conversations,)
+MODULES = (conversations, relational)
 
 
 def queries() -> dict:
