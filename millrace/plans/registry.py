@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import conversations, relational
+from millrace.plans import conversations, relational, textual
 
-MODULES = (conversations, relational)
+MODULES = (conversations, relational, textual)
 
 
 def queries() -> dict:
