@@ -152,7 +152,7 @@ def adapt_to_shell(df: DataFrame, transform: str, messages: str = "messages") ->
     counters = T.StructType([T.StructField(k, T.LongType()) for k in names])
     if preset is None:
         return df.withColumn("counters", F.lit(None).cast(counters))
-    schema = T.StructType([*df.schema.fields, T.StructField("counters", counters)])
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema] + [T.StructField("counters", counters)])
 
     def run(stream: Iterator) -> Iterator:
         import pyarrow as pa

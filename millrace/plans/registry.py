@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import conversations, relational, textual
+from millrace.plans import conversations, relational, textual, traces
 
-MODULES = (conversations, relational, textual)
+MODULES = (conversations, relational, textual, traces)
 
 
 def queries() -> dict:
