@@ -72,7 +72,7 @@ def failed_turn_masks(spark, d):
 
 @plan(f"""WITH {TURNS}, c AS (SELECT *, CASE WHEN role = 'assistant' THEN ({COMMANDS_SQL})[(conv_id + turn) % {len(COMMANDS)} + 1] END AS cmd FROM t),
   s AS (SELECT *, coalesce(sum((cmd IN ('submit', 'git diff > patch.txt'))::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 AS after FROM c)
-  SELECT conv_id, turn, after AS masked, CASE cmd WHEN 'cat a.py' THEN 0.5 WHEN 'git status' THEN 1.5 WHEN 'submit' THEN 2.0 WHEN 'git diff > patch.txt' THEN 2.0 ELSE 1.0 END * CASE WHEN conv_id % 2 = 0 THEN 1.0 ELSE 0.5 END AS weight
+  SELECT conv_id, turn, after AS masked, (CASE cmd WHEN 'cat a.py' THEN 0.5 WHEN 'git status' THEN 1.5 WHEN 'submit' THEN 2.0 WHEN 'git diff > patch.txt' THEN 2.0 ELSE 1.0 END * CASE WHEN conv_id % 2 = 0 THEN 1.0 ELSE 0.5 END)::DOUBLE AS weight
   FROM s WHERE role = 'assistant'""")
 def loss_weights(spark, d):
     """Turns after a submit are masked; weights by action, halved for traces that did not pass."""
