@@ -36,7 +36,7 @@ PATTERNS = (
 )
 WORDS = re.compile(r"\w+")
 #: Labelled rows used to fit the models, at most; taken in the order of a hash of their id.
-SAMPLE = 12_000
+SAMPLE = 8_000
 #: Word beginnings of these lengths are features beside whole words.
 PREFIXES = (4, 5, 6, 7)
 #: Features of the classifier, at most, and the least number of training rows that hold one.
@@ -46,16 +46,6 @@ MINED_VOTERS, MINED_TERMS = 8, 160
 FOLDS = 5
 
 
-def traits(words) -> dict:
-    """Features of a set of lower-case words: each word, and how many of the words share a beginning (8 at most)."""
-    out = dict.fromkeys(("=" + w for w in words), 1)
-    for n in PREFIXES:
-        for w in words:
-            if len(w) >= n:
-                out[w[:n]] = min(8, out.get(w[:n], 0) + 1)
-    return out
-
-
 def label_model(votes, known=None, rounds: int = 60):
     """(posterior of the toxic class, accuracy table, voter weights) from an (items x voters) array of -1, 0, 1.
 
@@ -122,39 +112,64 @@ def logistic(rows, cols, values, n: int, m: int, target, l2: float = 0.5, newton
     return w[:-1], float(w[-1])
 
 
+def traits(bags: list) -> Iterator[tuple[list, object, object, object]]:
+    """(names, text, feature, count) of each kind of feature: whole words, then how many of a text's words share a
+    beginning (8 at most). bags holds each text's distinct words; one kind at a time is in memory.
+    """
+    import numpy as np
+
+    vocabulary: dict = {}
+    word = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for bag in bags for w in bag), np.int64)
+    text = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
+    names = list(vocabulary)
+    yield ["=" + w for w in names], text, word, np.ones(len(word), np.int64)
+    for n in PREFIXES:
+        heads: dict = {}
+        head = np.fromiter((heads.setdefault(w[:n], len(heads)) if len(w) >= n else -1 for w in names), np.int64, len(names))[word]
+        has = head >= 0
+        pair, count = np.unique(text[has] * max(1, len(heads)) + head[has], return_counts=True)
+        yield list(heads), pair // max(1, len(heads)), pair % max(1, len(heads)), np.minimum(count, 8)
+
+
 def fit(sample: list) -> tuple[dict, float]:
-    """({feature: weight}, bias) from rows (words, pattern hits, label 0 or 1)."""
+    """({feature: weight}, bias) from rows (distinct words, pattern hits, label 0 or 1)."""
     import numpy as np
 
-    bags = [traits(words) for words, _, _ in sample]
+    bags = [words for words, _, _ in sample]
     labels = np.array([y for _, _, y in sample], float)
-    n, counts = len(sample), {}
-    for bag, y in zip(bags, labels.tolist(), strict=True):
-        for f in bag:
-            c = counts.setdefault(f, [0, 0])
-            c[int(y)] += 1
-    n1 = labels.sum()
-    n0 = n - n1
-    odds = lambda c: np.log((c[1] + 0.3) / (n1 - c[1] + 0.6)) - np.log((c[0] + 0.3) / (n0 - c[0] + 0.6))
-    held = {f: odds(c) for f, c in counts.items() if sum(c) >= SUPPORT}
-    gain = {f: abs(o) * np.sqrt(counts[f][1] + 0.02 * counts[f][0]) for f, o in held.items()}
-    chosen = sorted(gain, key=lambda f: (-gain[f], f))[:FEATURES]
+    n, n1 = len(sample), labels.sum()
+    found, cells = [], []
+    for names, text, feature, count in traits(bags):
+        c1 = np.bincount(feature, weights=labels[text], minlength=len(names))
+        c0 = np.bincount(feature, minlength=len(names)) - c1
+        odds = np.log((c1 + 0.3) / (n1 - c1 + 0.6)) - np.log((c0 + 0.3) / (n - n1 - c0 + 0.6))
+        gain = np.where(c0 + c1 >= SUPPORT, np.abs(odds) * np.sqrt(c1 + 0.02 * c0), 0)
+        top = np.argsort(-gain, kind="stable")[:FEATURES]
+        top = top[gain[top] > 0]
+        at = np.full(len(names), -1)
+        at[top] = np.arange(len(found), len(found) + len(top))
+        found += [(float(gain[i]), names[i], float(odds[i]), float(c1[i])) for i in top.tolist()]
+        own = at[feature] >= 0
+        cells.append(np.stack([text[own], at[feature[own]], count[own]]))
+    rows, cols, values = np.concatenate(cells, axis=1)
+    order = sorted(range(len(found)), key=lambda i: (-found[i][0], found[i][1]))
+    chosen, mined = order[:FEATURES], [i for i in order if found[i][2] > 2.5 and found[i][3] >= SUPPORT][:MINED_TERMS]
     # Mined lexicons, dealt out so that every voter has frequent and rare terms.
-    mined = sorted((f for f in held if held[f] > 2.5 and counts[f][1] >= SUPPORT), key=lambda f: (-gain[f], f))[:MINED_TERMS]
-    fixed = [{"=" + w for w in lex} for lex in LEXICONS]
-    dealt = [set(mined[i::MINED_VOTERS]) for i in range(MINED_VOTERS) if mined[i::MINED_VOTERS]]
-    columns = [[int(not lex.isdisjoint(bag.keys())) for bag in bags] for lex in [*fixed, *dealt]]
-    columns += [[int(hits[i] > 0) for _, hits, _ in sample] for i in range(len(PATTERNS))]
-    found = np.array(columns).T.reshape(n, -1)
-    none = np.where(found[:, : len(fixed) + len(dealt)].sum(1) == 0, -1, 0)
-    two = np.where(found[:, : len(fixed) + len(dealt)].sum(1) >= 2, 1, 0)
-    votes = np.column_stack([found, none, two, np.where(labels > 0.5, 1, -1)])
+    columns = [np.array([not lex.isdisjoint(bag) for bag in bags], int) for lex in map(frozenset, LEXICONS)]
+    for i in range(MINED_VOTERS):
+        hit = np.zeros(n, int)
+        hit[rows[np.isin(cols, mined[i::MINED_VOTERS])]] = 1
+        columns.append(hit)
+    lexical = np.array(columns).T.reshape(n, -1)
+    shown = np.array([[int(h > 0) for h in hits] for _, hits, _ in sample]).reshape(n, -1)
+    none, two = np.where(lexical.sum(1) == 0, -1, 0), np.where(lexical.sum(1) >= 2, 1, 0)
+    votes = np.column_stack([lexical, shown, none, two, np.where(labels > 0.5, 1, -1)])
     target, _, _ = label_model(votes, known=votes.shape[1] - 1)
-    index = {f: i for i, f in enumerate(chosen)}
-    cells = [(r, index[f], k) for r, bag in enumerate(bags) for f, k in bag.items() if f in index]
-    rows, cols, values = (np.array(x, np.int64) for x in (zip(*cells, strict=True) if cells else ((), (), ())))
-    w, b = logistic(rows, cols, values, n, len(chosen), target)
-    return {f: float(x) for f, x in zip(chosen, w, strict=True) if x}, float(b)
+    at = np.full(len(found) + 1, -1)
+    at[chosen] = np.arange(len(chosen))
+    own = at[cols] >= 0
+    w, b = logistic(rows[own], at[cols[own]], values[own], n, len(chosen), target)
+    return {found[i][1]: float(x) for i, x in zip(chosen, w, strict=True) if x}, float(b)
 
 
 def fallback() -> tuple[dict, float]:
@@ -181,7 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = sorted({(x[key], x["words"], tuple(x["hits"]), int(x["y"] >= 0.5)) for x in rows.collect()})
     if len({y for *_, y in rows}) < 2:
         return fallback()
-    return fit([(words.split(), hits, y) for _, words, hits, y in rows])
+    one: dict = {}  # each distinct word is held once
+    return fit([([one.setdefault(w, w) for w in words.split()], hits, y) for _, words, hits, y in rows])
 
 
 def held_out(key: str = "doc_id"):
