@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -124,8 +125,6 @@ def _reverse(diff: str | None) -> str | None:
 
 def reverse(diff: Column) -> Column:
     """The diff that undoes a diff; blocks of removed and added lines change places."""
-    import pandas as pd
-
     def run(batch: pd.Series) -> pd.Series:
         return batch.map(_reverse, na_action="ignore")
 

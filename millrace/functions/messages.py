@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,8 +75,6 @@ def content_parts(raw: Column) -> Column:
 
     Plain text needs no Python: only contents that start like JSON lists or objects are decoded there.
     """
-    import pandas as pd
-
     def run(batch: pd.Series) -> pd.DataFrame:
         out = []
         for x in batch:

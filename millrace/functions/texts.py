@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,8 +33,6 @@ def collapse(text: Column) -> Column:
 
 def normalize_unicode(text: Column, form: str = "NFKC") -> Column:
     """A Unicode normal form; Spark has no built-in one."""
-    import pandas as pd
-
     def run(batch: pd.Series) -> pd.Series:
         return batch.str.normalize(form)
 

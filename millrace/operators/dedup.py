@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +29,6 @@ def retire(df: DataFrame, selected: DataFrame, uuid: str = "uuid", source: str =
 
 def canonical_digest(json_text: Column) -> Column:
     """SHA-256 of JSON with sorted keys and no blanks; null where the text is no JSON."""
-    import pandas as pd
-
     def one(x):
         try:
             return hashlib.sha256(json.dumps(json.loads(x), sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()

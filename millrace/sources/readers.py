@@ -19,7 +19,7 @@ def lines(spark: SparkSession, path: str, glob: str = "*.jsonl*", recursive: boo
 
 def numbered_lines(spark: SparkSession, path: str, glob: str = "*.jsonl*") -> DataFrame:
     """(file, line, value), lines from 0. Each file comes whole, so files are the parallelism."""
-    whole = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").option("wholetext", "true").text(path)
+    whole = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True)
     cut = F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("line", "value")
     return whole.select(F.col("_metadata.file_path").alias("file"), cut)
 
@@ -88,7 +88,7 @@ def line_list(spark: SparkSession, path: str) -> DataFrame:
 
 def result_tree(spark: SparkSession, pattern: str, parts: dict[str, int]) -> DataFrame:
     """Whole JSON files under a glob, with parts of their paths, counted from the file name backwards from 1."""
-    df = spark.read.option("wholetext", "true").text(pattern).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
+    df = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
     pieces = F.split("path", "/")
     return df.select("path", "json", *(F.element_at(pieces, -i).alias(n) for n, i in parts.items()))
 
