@@ -56,13 +56,19 @@ def label_model(votes, known=None, rounds: int = 60):
 
     n, m = votes.shape
     hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)  # items, voters, vote
-    for_, against = (votes == 1).sum(1), (votes == -1).sum(1)
-    q = (for_ * 2.0 + 0.2) / (for_ * 2.0 + against + 1.0)
+    # Voters that repeat one another share a vote from the start, else three echoes would outvote two witnesses.
+    centred = votes - votes.mean(0)
+    spread = np.sqrt((centred**2).sum(0)) + 1e-9
+    raw = (centred.T @ centred) / np.outer(spread, spread)
+    np.fill_diagonal(raw, 0)
+    weight = 1 / (1 + (raw**2).sum(1))
+    for_, against = (votes == 1) @ weight, (votes == -1) @ weight
+    q = (for_ + 0.02) / (for_ + against + 0.1)
     belief = np.full((2, m, 3), 0.5)
     if known is not None:
         q = np.where(votes[:, known] > 0, 0.95, 0.05)
         belief[0, known], belief[1, known] = np.array([0.95, 0.0, 0.05]) * n + 0.5, np.array([0.05, 0.0, 0.95]) * n + 0.5
-    weight, prior = np.ones(m), 0.1
+        weight[known] = 1.0
     for step in range(rounds):
         prior = np.clip(q.mean(), 1e-3, 0.5)
         table = np.stack([np.einsum("n,nmv->mv", p, hot) for p in (1 - q, q)]) + belief
