@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def stream(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
     """The events' Parquet files as a stream."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def tumbling(events: DataFrame, size: str = "1 hour", late: str = "10 minutes") -> DataFrame:

@@ -167,5 +167,5 @@ def test_stream_equals_batch(spark, data, tmp_path):
     q = E.tumbling(E.stream(spark, str(src))).writeStream.format("memory").queryName("tumbling").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     streamed = {(r.start, r.event_type): r.n for r in spark.table("tumbling").collect()}
-    batch = {(r.start, r.event_type): r.n for r in E.tumbling(spark.read.parquet(str(src))).collect()}
+    batch = {(r.start, r.event_type): r.n for r in E.tumbling(spark.read.parquet(str(src)).withColumn("ts", F.col("ts").cast("timestamp"))).collect()}
     assert streamed == batch
