@@ -225,7 +225,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, kinds, strict=True)], ["k1", "k2", "m", "s", "n", "c"])
 
     spans = materialize(docs.select("k1", "k2", "text").mapInArrow(find, "k1 long, k2 long, m long, s int, n int, c int"), "spans")
-    again = spans.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1").select("m")
+    # Written, so that the join has an exchange of its own, which AQE can split where a hash is hot.
+    again = materialize(spans.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1").select("m"), "again")
     wanted = spans.join(again.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n")).alias("want"))
 
     def cut(stream) -> Iterator:
