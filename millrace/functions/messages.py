@@ -192,3 +192,42 @@ def reasoning_metrics(messages: Column) -> dict[str, Column]:
     turns = F.filter(messages, lambda m: m["role"] == "assistant")
     n, r = F.size(turns), F.size(F.filter(turns, has_reasoning))
     return {"n_assistant": n, "n_reasoning": r, "share_reasoning": F.when(n > 0, r / n).otherwise(F.lit(0.0))}
+
+
+def has_submit(messages: Column, marker: str = "complete_task_and_submit_final_output") -> Column:
+    """Whether any content or call holds a marker, whatever its case."""
+    here = lambda m: F.lower(F.concat_ws("\n", m["content"], F.to_json(m["tool_calls"]))).contains(marker.lower())
+    return F.coalesce(F.exists(messages, here), F.lit(False))
+
+
+def without_keys(json_text: Column, *names: str) -> Column:
+    """JSON text without these keys at any depth; text that is no JSON stays."""
+    gone = frozenset(names)
+
+    def cut(x):
+        if isinstance(x, dict):
+            return {k: cut(v) for k, v in x.items() if k not in gone}
+        return [cut(v) for v in x] if isinstance(x, list) else x
+
+    def one(x):
+        try:
+            return json.dumps(cut(json.loads(x)), ensure_ascii=False)
+        except (TypeError, ValueError):
+            return x
+
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(one)
+
+    return F.pandas_udf(run, "string")(json_text)
+
+
+def source_outcome(row: dict[str, Column], metadata: dict[str, Column]) -> Column:
+    """A map of outcome fields: the row's value, else the metadata's; empty ones have no entry."""
+    pairs = [F.struct(F.lit(k).alias("key"), F.coalesce(*(c[k].cast("string") for c in (row, metadata) if k in c)).alias("value")) for k in sorted({*row, *metadata})]
+    return F.map_filter(F.map_from_entries(F.array(*pairs)), lambda k, v: v.isNotNull() & ~v.isin("", "[]", "{}"))
+
+
+def reasoning_entries(messages: Column) -> Column:
+    """(message_index, path, content) of every message with reasoning."""
+    found = F.transform(messages, lambda m, i: F.struct(i.alias("message_index"), F.concat(F.lit("messages["), i.cast("string"), F.lit("].reasoning_content")).alias("path"), m["reasoning_content"].alias("content")))
+    return F.filter(found, lambda e: _present(e["content"]))

@@ -73,3 +73,47 @@ def submission_problems(patch: Column, forbidden: tuple = ("patch.txt", "node_mo
 def prompt_flags(prompt: Column, category: Column, shortest: int = 180, longest: int = 9000) -> Column:
     """Flags of a prompt and of the first command that follows it."""
     return reasons(short=F.length(prompt) < shortest, long=F.length(prompt) > longest, resumes=prompt.rlike(r"(?i)\b(continue|resume)\b"), no_command=category == "no_command", starts_with_submit=category == "submit")
+
+
+def compact_pass(passed, reward, patch_bytes, empty_patch, has_submit, most_patch=100_000) -> Column:
+    """The gate of compacted traces: missing reward counts as 1, a missing submit as there."""
+    ok = F.coalesce(passed, F.lit(False)) & (F.coalesce(reward, F.lit(1.0)) > 0) & patch_bytes.between(1, most_patch) & ~F.coalesce(empty_patch, F.lit(False)) & F.coalesce(has_submit, F.lit(True))
+    return F.coalesce(ok, F.lit(False))
+
+
+def nonpassing_quality(passed, patch_bytes, has_submit, reasoning, *natural: Column, most_patch=100_000, least_reasoning=0.9) -> Column:
+    """A failed trace worth keeping: bounded patch, a submit, reasoning, and any natural signal."""
+    any_signal = F.lit(False)
+    for s in natural:
+        any_signal = any_signal | F.coalesce(s, F.lit(False))
+    ok = ~F.coalesce(passed, F.lit(False)) & patch_bytes.between(1, most_patch) & has_submit & (reasoning >= least_reasoning) & any_signal
+    return F.coalesce(ok, F.lit(False))
+
+
+def strict_quality(passed, reward, submitted, patch_bytes, reasoning, calls, assistants, least_reasoning=0.9) -> Column:
+    """All of the seven reasons that hold; the row is kept with them."""
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    return reasons(not_passed=no(passed), no_reward=no(reward > 0), not_submitted=no(submitted), empty_patch=no(patch_bytes > 0), low_reasoning=no(reasoning >= least_reasoning), no_calls=no(calls > 0), no_assistant=no(assistants > 0))
+
+
+def pass_source(reward, *flags: tuple[str, Column]) -> Column:
+    """The name of what certifies a pass: reward must be 1 and no flag that is there may be false; null if it isn't one."""
+    ok, source = F.coalesce(reward == 1, F.lit(False)), None
+    for name, flag in flags:
+        ok = ok & F.coalesce(flag, F.lit(True))
+        source = F.when(flag.isNotNull(), name) if source is None else source.when(flag.isNotNull(), name)
+    return F.when(ok, F.lit("reward") if source is None else source.otherwise("reward"))
+
+
+def audit_verdict(reward, diff, commands, submitted) -> Column:
+    """Reasons of an audit: reward, header, paths outside the tree, a hand-made patch, no submit in the last commands."""
+    hand = F.exists(commands, lambda c: F.lower(c).rlike(r"(cat|tee|printf|echo).*>\s*\S*patch\.txt"))
+    return reasons(no_reward=F.coalesce(reward, F.lit(0.0)) <= 0, no_header=~F.coalesce(diff, F.lit("")).contains("diff --git "), outside_path=F.coalesce(diff.rlike(r"(?m)^diff --git a/(/|\.\./)"), F.lit(False)), manual_patch=F.coalesce(hand, F.lit(False)), late_submit=~F.coalesce(submitted, F.lit(False)))
+
+
+def score(parts: dict[str, tuple[Column, float]], base: float = 0.0) -> dict[str, Column]:
+    """An additive score and the names of the parts that held."""
+    total = F.lit(base)
+    for c, points in parts.values():
+        total = total + F.when(c, points).otherwise(0.0)
+    return {"score": total, "notes": reasons(**{n: c for n, (c, _) in parts.items()})}

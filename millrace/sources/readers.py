@@ -36,12 +36,6 @@ def jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False, glo
     return rows.select("file", F.from_json("value", schema).alias("row")).select("file", "row.*")
 
 
-def raw_examples(spark: SparkSession, path: str) -> DataFrame:
-    """(file, format, value) of all raw files below a path: JSONL lines and Parquet rows as JSON text."""
-    text = lines(spark, path).select("file", F.lit("jsonl").alias("format"), "value")
-    return text
-
-
 def event_logs(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
     """One example per event-log file: (file, messages, bad_json). Other files give none."""
     rows = numbered_lines(spark, path, glob).where(F.trim("value") != "")
@@ -123,3 +117,22 @@ def json_or_list(col: Column) -> Column:
     """A list of strings from JSON text; text that is no list stops the query."""
     out = F.from_json(col, "array<string>")
     return F.when(out.isNull() & col.isNotNull(), F.raise_error(F.concat(F.lit("no list: "), col)).cast("array<string>")).otherwise(out)
+
+
+def file_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, format, value) below a path: JSONL lines and Parquet rows as JSON text; folders named .cache are left out."""
+    text = lines(spark, path).select("file", F.lit("jsonl").alias("format"), "value")
+    tables = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("mergeSchema", "true")
+    try:
+        rows = tables.parquet(path)
+    except Exception as e:  # a tree without Parquet files has no schema to read
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return text.where(~F.col("file").contains("/.cache/"))
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.lit("parquet").alias("format"), F.to_json(F.struct(*rows.columns)).alias("value"))
+    return text.unionByName(rows).where(~F.col("file").contains("/.cache/"))
+
+
+def shuffled_files(rows: DataFrame, seed: str) -> DataFrame:
+    """rows with the order of their file under a seed: by hash, so it is the same on every cluster."""
+    return rows.withColumn("file_order", F.sha2(F.concat(F.lit(seed), F.lit("\0"), F.col("file")), 256))
