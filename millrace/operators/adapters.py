@@ -6,7 +6,7 @@ import json
 import re
 import shlex
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 
@@ -16,28 +16,40 @@ FENCE = re.compile(r"```(?:bash|sh|shell|console)\s*\n(.*?)```", re.S)
 
 
 @dataclass(frozen=True)
-class Preset:
-    """What an adaptation accepts and how it treats turns that give no command."""
-
-    native_tools: bool = True
-    command_json: bool = False
-    fenced: bool = False
-    single_calls: bool = False
-    drop_without_command: bool = True
-    submit: str = "submit"
-
-
-#: Named transforms; an unknown name is an error.
-PRESETS = {
-    "none": None,
-    "native": Preset(),
-    "native_single": Preset(single_calls=True),
-    "terminal_json": Preset(native_tools=False, command_json=True),
-    "terminal_json_single": Preset(native_tools=False, command_json=True, single_calls=True),
-    "fenced": Preset(native_tools=False, fenced=True),
-    "any": Preset(command_json=True, fenced=True),
-    "lenient": Preset(command_json=True, fenced=True, drop_without_command=False),
-}
+class Adaptation:
+    """How a trace is adapted; all flags off keeps visible content beside the calls."""
+
+    reasoning: bool = False  # the text before a call becomes its reasoning
+    toolonly: bool = False  # no content beside calls
+    strict: bool = False  # one instruction to use the shell tool heads the task; think tags go
+    submit: bool = False  # traces without a submit are dropped
+    first: bool = False  # only the first user and assistant turns
+    recovery: bool = False  # the same with a format error between them
+    toolobs: bool = False  # observations told by the user become tool turns
+    single: bool = False  # one call a turn; turns are split with their observations
+    emptythink: bool = False  # an empty reasoning before calls
+
+
+FLAGS = tuple(f.name for f in fields(Adaptation))
+#: Fixed texts that adapted traces carry.
+SYSTEM = "You solve tasks in a repository by running shell commands with the bash tool."
+STRICT = "Use the bash tool for every step and submit when the task is done.\n\n"
+FORMAT_ERROR = "Your last reply held no valid tool call. Call the bash tool."
+SUBMIT = "submit"
+THINK_TAGS = re.compile(r"</?think>")
+
+
+def parse(transform: str) -> Adaptation | None:
+    """The adaptation that a name spells: bash_tool and flags joined by underscores; `none` adapts nothing.
+
+    `visible` says that content stays, which is the default. Anything else is an error.
+    """
+    if transform == "none":
+        return None
+    head, words = transform[:9], [w for w in transform[9:].split("_") if w]
+    if head != "bash_tool" or set(words) - {*FLAGS, "visible"} or len(set(words)) < len(words):
+        raise ValueError(f"unknown transform {transform}")
+    return Adaptation(**{w: True for w in words if w != "visible"})
 
 
 def json_objects(text: str) -> list:
@@ -84,56 +96,93 @@ def native_command(name: str, arguments, submit: str) -> str | None:
     return edit_command(a) if name == "str_replace_editor" else None
 
 
-def turn_commands(m: dict, p: Preset) -> list[str]:
-    """The commands of an assistant message, by the kinds that a preset accepts, the first that gives any."""
-    if p.native_tools:
-        found = [native_command(c["function"]["name"], c["function"]["arguments"], p.submit) for c in m.get("tool_calls") or []]
-        if found and all(found):
-            return found
+def turn_commands(m: dict) -> tuple[str, str, list[str]]:
+    """(kind, text left beside the commands, commands) of an assistant message: native calls, else a JSON object with
+    commands, else a single fenced line."""
     text = m.get("content") or ""
-    if p.command_json:
-        for value in reversed(json_objects(text)):
-            if isinstance(value.get("commands"), list):
-                found = [str(c.get("keystrokes", "") if isinstance(c, dict) else c).rstrip("\n") for c in value["commands"]]
-                return [c for c in found if c] + ([p.submit] if value.get("task_complete") else [])
-    if p.fenced:
-        blocks = FENCE.findall(text)
-        if len(blocks) == 1 and blocks[0].strip() and "\n" not in blocks[0].strip():
-            return [blocks[0].strip()]
-    return []
-
-
-def adapt(messages: list[dict], p: Preset) -> tuple[list[dict] | None, dict]:
-    """(the adapted trace or None, counters)."""
-    n = {"assistant_turns": 0, "commands": 0, "split_turns": 0, "turns_without_command": 0, "dropped_rows": 0}
-    out: list[dict] = []
+    found = [c for c in (native_command(x["function"]["name"], x["function"]["arguments"], SUBMIT) for x in m.get("tool_calls") or []) if c]
+    if found:
+        return "native", text, found
+    for value in reversed(json_objects(text)):
+        if isinstance(value.get("commands"), list):
+            found = [str(c.get("keystrokes", "") if isinstance(c, dict) else c).rstrip("\n") for c in value["commands"]]
+            found = [c for c in found if c] + ([SUBMIT] if value.get("task_complete") else [])
+            if found:
+                return "json", "\n".join(str(value[k]) for k in ("analysis", "plan") if value.get(k)), found
+    blocks = FENCE.findall(text)
+    if len(blocks) == 1 and blocks[0].strip() and "\n" not in blocks[0].strip():
+        return "fenced", FENCE.sub("", text).strip(), [blocks[0].strip()]
+    return "none", text, []
+
+
+def split_calls(messages: list[dict]) -> list[dict] | None:
+    """One call a turn: the observation after a turn of several is cut at the prompt lines of its commands; None if it can't be."""
+    out, skip = [], False
     for i, m in enumerate(messages):
-        if m["role"] != "assistant":
-            role = "tool" if m["role"] == "user" and out and out[-1]["role"] == "assistant" and out[-1].get("tool_calls") else m["role"]
-            out.append({**m, "role": role})
+        if skip:
+            skip = False
             continue
-        n["assistant_turns"] += 1
-        found = turn_commands(m, p)
-        if not found:
-            n["turns_without_command"] += 1
-            if p.drop_without_command:
-                return None, n | {"dropped_rows": 1}
+        calls = m.get("tool_calls") or []
+        if len(calls) < 2:
             out.append(m)
             continue
-        n["commands"] += len(found)
-        call = lambda c: {"function": {"name": "bash", "arguments": json.dumps({"command": c})}}
-        if p.single_calls and len(found) > 1:
-            after = messages[i + 1]["content"] or "" if i + 1 < len(messages) else ""
-            pieces = re.split("|".join(re.escape(f"$ {c}\n") for c in found), after)
-            if len(pieces) != len(found) + 1:
-                return None, n | {"dropped_rows": 1}
-            n["split_turns"] += 1
-            for k, c in enumerate(found):
-                out.append({**m, "content": m["content"] if k == 0 else "", "tool_calls": [call(c)]})
-                if k < len(found) - 1:
-                    out.append({"role": "tool", "content": pieces[k + 1]})
-        else:
-            out.append({**m, "tool_calls": [call(c) for c in found]})
+        after = messages[i + 1]["content"] or "" if i + 1 < len(messages) else ""
+        commands = [json.loads(c["function"]["arguments"])["command"] for c in calls]
+        pieces = re.split("|".join(re.escape(f"$ {c}\n") for c in commands), after)
+        if len(pieces) != len(commands) + 1:
+            return None
+        for k, c in enumerate(calls):
+            out += [{**m, "content": m["content"] if k == 0 else "", "tool_calls": [c]}, {"role": "tool", "content": pieces[k + 1].rstrip("\n")}]
+        skip = True
+    return out
+
+
+COUNTERS = ("assistant_turns", "native_turns", "json_turns", "fenced_turns", "observations_moved", "commands", "split_turns", "dropped_no_command", "dropped_no_submit", "dropped_no_split", "dropped_no_first_turn")
+
+
+def adapt(messages: list[dict], how: Adaptation) -> tuple[list[dict] | None, dict]:
+    """(the adapted trace or None, counters)."""
+    n, out, asked = dict.fromkeys(COUNTERS, 0), [], False
+    if not messages or messages[0]["role"] != "system":
+        messages = [{"role": "system", "content": SYSTEM}, *messages]
+    for m in messages:
+        role, text = m["role"], m.get("content") or ""
+        if role != "assistant":
+            told = role == "user" and out and out[-1]["role"] == "assistant"
+            if how.toolobs and told:
+                role = "tool"
+                n["observations_moved"] += 1
+            elif role == "user" and not asked:
+                asked, text = True, STRICT + text if how.strict else text
+            out.append({"role": role, "content": text})
+            continue
+        n["assistant_turns"] += 1
+        kind, text, commands = turn_commands(m)
+        if not commands:
+            return None, n | {"dropped_no_command": 1}
+        n[f"{kind}_turns"] += 1
+        n["commands"] += len(commands)
+        calls = [{"function": {"name": "bash", "arguments": json.dumps({"command": c})}} for c in commands]
+        said = THINK_TAGS.sub("", text).strip() if how.strict or how.reasoning else text
+        turn = {"role": "assistant", "content": "" if how.toolonly or how.reasoning else said, "tool_calls": calls}
+        if how.emptythink:
+            turn["reasoning_content"] = "\n"
+        elif how.reasoning and said:
+            turn["reasoning_content"] = said
+        out.append(turn)
+    told = [c["function"]["arguments"] for m in out for c in m.get("tool_calls") or []]
+    if how.submit and not any(SUBMIT in a.lower() for a in told):
+        return None, n | {"dropped_no_submit": 1}
+    if how.single:
+        n["split_turns"] = sum(len(m.get("tool_calls") or []) > 1 for m in out)
+        out = split_calls(out)
+        if out is None or sum(m["role"] == "user" for m in out) > 1:
+            return None, n | {"dropped_no_split": 1}
+    if how.first or how.recovery:
+        user, reply = (next((m for m in out if m["role"] == r), None) for r in ("user", "assistant"))
+        if user is None or reply is None:
+            return None, n | {"dropped_no_first_turn": 1}
+        out = [out[0], user, *([{"role": "user", "content": FORMAT_ERROR}] if how.recovery else []), reply]
     return out, n
 
 
@@ -145,12 +194,9 @@ def adapt_to_shell(df: DataFrame, transform: str, messages: str = "messages") ->
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
-    if transform not in PRESETS:
-        raise ValueError(f"unknown transform {transform}")
-    preset = PRESETS[transform]
-    names = ("assistant_turns", "commands", "split_turns", "turns_without_command", "dropped_rows")
-    counters = T.StructType([T.StructField(k, T.LongType()) for k in names])
-    if preset is None:
+    how = parse(transform)
+    counters = T.StructType([T.StructField(k, T.LongType()) for k in COUNTERS])
+    if how is None:
         return df.withColumn("counters", F.lit(None).cast(counters))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema] + [T.StructField("counters", counters)])
 
@@ -162,7 +208,7 @@ def adapt_to_shell(df: DataFrame, transform: str, messages: str = "messages") ->
         for batch in stream:
             rows = []
             for row in batch.to_pylist():
-                row[messages], row["counters"] = adapt(row[messages] or [], preset)
+                row[messages], row["counters"] = adapt(row[messages] or [], how)
                 rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 

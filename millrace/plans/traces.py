@@ -144,7 +144,7 @@ def character_tokens(spark, d):
   SELECT conv_id, bool_and(cmd <> '') AS adapted, CASE WHEN bool_and(cmd <> '') THEN count(*) END AS n_commands FROM c GROUP BY 1""")
 def shell_adaptation(spark, d):
     rows = traces(spark, d, commands=True).where(F.exists("messages", lambda m: m["role"] == "assistant"))
-    out = adapters.adapt_to_shell(rows, "native")
+    out = adapters.adapt_to_shell(rows, "bash_tool_strict_toolobs_toolonly")
     ok = F.col("messages").isNotNull()
     return out.select("conv_id", ok.alias("adapted"), F.when(ok, F.col("counters.commands")).alias("n_commands"))
 

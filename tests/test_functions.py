@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import coerce, diffs, messages, texts
@@ -67,11 +68,21 @@ def test_raw_messages_normalize(spark):
 
 def test_adapter_kinds():
     call = {"function": {"name": "str_replace_editor", "arguments": '{"command":"view","path":"a.py","view_range":[1,3]}'}}
-    p = adapters.PRESETS
-    assert adapters.turn_commands({"tool_calls": [call]}, p["native"]) == ["sed -n '1,3p' a.py"]
-    assert adapters.turn_commands({"content": 'x {"commands":[{"keystrokes":"ls\\n"}],"task_complete":true}'}, p["terminal_json"]) == ["ls", "submit"]
-    assert adapters.turn_commands({"content": "```bash\nls\n```"}, p["fenced"]) == ["ls"]
-    assert adapters.adapt([{"role": "assistant", "content": "no"}], p["native"])[0] is None
-    trace = [{"role": "assistant", "content": '{"commands":["a","b"]}'}, {"role": "user", "content": "$ a\none\n$ b\ntwo"}]
-    out, n = adapters.adapt(trace, p["terminal_json_single"])
-    assert [m["role"] for m in out] == ["assistant", "tool", "assistant", "tool"] and n["split_turns"] == 1
+    assert adapters.turn_commands({"tool_calls": [call]})[2] == ["sed -n '1,3p' a.py"]
+    assert adapters.turn_commands({"content": 'x {"plan":"p","commands":[{"keystrokes":"ls\\n"}],"task_complete":true}'}) == ("json", "p", ["ls", "submit"])
+    assert adapters.turn_commands({"content": "so ```bash\nls\n```"}) == ("fenced", "so", ["ls"])
+
+
+def test_adapter_flags():
+    a = adapters
+    assert a.parse("none") is None and a.parse("bash_tool_submit_strict_toolobs_single_visible").single
+    with pytest.raises(ValueError, match="unknown"):
+        a.parse("bash_tool_other")
+    assert a.adapt([{"role": "assistant", "content": "no"}], a.parse("bash_tool"))[0] is None
+    trace = [{"role": "user", "content": "do"}, {"role": "assistant", "content": '{"plan":"p","commands":["a","b"]}'}, {"role": "user", "content": "$ a\none\n$ b\ntwo"}]
+    out, n = a.adapt(trace, a.parse("bash_tool_toolobs_single"))
+    assert [m["role"] for m in out] == ["system", "user", "assistant", "tool", "assistant", "tool"] and n["split_turns"] == 1 and out[3]["content"] == "one"
+    assert a.adapt(trace, a.parse("bash_tool_submit"))[1]["dropped_no_submit"] == 1
+    first = a.adapt(trace, a.parse("bash_tool_recovery_strict_toolobs_toolonly_emptythink"))[0]
+    assert [m["role"] for m in first] == ["system", "user", "user", "assistant"] and first[3]["content"] == "" and first[3]["reasoning_content"] == "\n" and first[1]["content"].startswith(a.STRICT)
+    assert a.adapt(trace, a.parse("bash_tool_reasoning"))[0][2]["reasoning_content"] == "p"
