@@ -8,6 +8,7 @@ left of them, can no longer reach what is asked for.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -54,13 +55,20 @@ def spell(found: frozenset) -> str:
 
 def likeness(a: frozenset, b: frozenset, least: float = 0.0) -> float:
     """Jaccard similarity; 0.0 as soon as the lengths show that it is below `least`. Two empty sets are alike."""
-    short, long = sorted((len(a), len(b)))
-    if not long:
+    a, b = sorted((a, b), key=len)
+    if not b:
         return 1.0
-    if short < least * long:
+    if len(a) < least * len(b):
         return 0.0
-    both = len(a & b)
-    return both / (short + long - both)
+    if not least:
+        both = len(a & b)
+    else:
+        need, both = least / (1 + least) * (len(a) + len(b)) - 1e-9, 0
+        for seen, x in enumerate(a):
+            if both + len(a) - seen < need:
+                return 0.0
+            both += x in b
+    return both / (len(a) + len(b) - both)
 
 
 def _search(value: Column, bounds: list[int]) -> Column:
@@ -131,3 +139,64 @@ def compare_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True) if out else [[]] * 8, types, strict=True)], names)
 
     return rows.mapInArrow(run, SCHEMA)
+
+
+def near_groups(docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, group_id): group_id is the smallest key reachable over pairs of fingerprints with a Jaccard similarity of `least`.
+
+    Exact. Equal fingerprints count once. Sets meet if their length partitions touch and they share one of their
+    rarest signatures, of which each set has so many that similar sets must share one (prefix filtering). Where
+    sets meet, they are compared in the order of their lengths: the scan stops at the first that is too long, and
+    an intersection stops when what is left cannot reach the bound. Only a spanning forest of the links is
+    returned, so a group's pairs are never written out. Null keys get no group; empty texts form one group.
+    """
+    from millrace.llm.common import components, materialize
+
+    def sets(stream) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches(stream, 1024, 4_000_000, text):
+            found = [sorted(signatures(t or "")) for t in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.list_(pa.int64()))], [key, "sigs"])
+
+    own = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).where(F.col(key).isNotNull())
+    every = materialize(own.mapInArrow(sets, f"{key} long, sigs array<long>"), "sets")
+    nodes = materialize(every.groupBy("sigs").agg(F.min(key).alias("id")), "nodes")
+    flat = nodes.select("id", F.explode("sigs").alias("sig"))
+    rarity = materialize(flat.groupBy("sig").agg(F.count(F.lit(1)).alias("df")), "rarity")
+    ranked = flat.join(rarity.hint("merge"), "sig").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("ranked"))
+    n = F.size("ranked")
+    kept = F.slice("ranked", F.lit(1), (n - F.ceil(F.round(n * F.lit(least), 6)) + 1).cast("int"))
+    met = ranked.select("id", F.explode(F.transform(F.filter(kept, lambda x: x["df"] > 1), lambda x: x["sig"])).alias("sig"))
+    part = F.floor(F.log(F.size("sigs")) / F.lit(-math.log(least)))
+    units = met.join(nodes.hint("merge"), "id").withColumn("part", F.explode(F.array(part, part + 1))).select("part", "sig", "id", F.size("sigs").alias("n"), "sigs")
+
+    def link(stream) -> Iterator:
+        import pyarrow as pa
+
+        held, unit = [], None
+        root: dict = {}
+
+        def find(x: int) -> int:
+            while x in root:
+                x = root[x]
+            return x
+
+        for batch in stream:
+            out = []
+            for p, sig, i, sigs in zip(*(batch.column(c).to_pylist() for c in ("part", "sig", "id", "sigs")), strict=True):
+                if (p, sig) != unit:
+                    unit, held, root = (p, sig), [], {}
+                mine = frozenset(sigs)
+                held = [x for x in held if len(x[1]) >= least * len(mine)]  # lengths only grow: shorter ones are done
+                for j, other in held:
+                    a, b = find(i), find(j)
+                    if a != b and likeness(other, mine, least) >= least:
+                        root[max(a, b)] = min(a, b)
+                        out.append((i, j))
+                held.append((i, mine))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
+
+    found = components(units.repartition("part", "sig").sortWithinPartitions("part", "sig", "n", "id").mapInArrow(link, "a long, b long"))
+    named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("sigs", F.coalesce("component", "id").alias("group_id"))
+    return every.join(named, "sigs").select(key, "group_id")

@@ -238,6 +238,18 @@ def test_spotsigs_across_buckets(spark, monkeypatch):
     assert got == {i: hashlib.sha256((t(i)[: len(t(i)) - len(t(i)) // 2] + t((i - 1) % 100)[: len(t(i)) // 2]).encode()).hexdigest() for i in range(100)}
 
 
+def test_spotsigs_groups_equal_brute_force(spark, docs, rows, empty):
+    r = random.Random(4)
+    words = ["the", "of", "a", "is", *(f"w{i}" for i in range(300))]
+    long = [[r.choice(words) for _ in range(300)] for _ in range(4)]
+    texts = [t for _, t in rows] + [" ".join([*x[:k], "q", *x[k + 1 :]]) for x in long for k in range(0, 120, 12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sigs = [spotsigs.signatures(t or "") for t in texts]
+    near = [(i, j) for i in range(len(sigs)) for j in range(i) if spotsigs.likeness(sigs[i], sigs[j]) >= 0.8]
+    assert {x.doc_id: x.group_id for x in spotsigs.near_groups(df).collect()} == dict(enumerate(roots(len(texts), near)))
+    assert len(near) > 100 and spotsigs.near_groups(empty).count() == 0
+
+
 def base_rules(t):
     luhn = lambda d: sum((int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10))) for i, c in enumerate(d[::-1])) % 10 == 0
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
