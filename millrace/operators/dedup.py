@@ -51,7 +51,7 @@ def long_sequences(df: DataFrame, digest: str, turns: str, chars: str, order: li
 def conflict_free(df: DataFrame, position: str, keys: str, shared_folder: str, rounds: int = 100) -> DataFrame:
     """What a loop in the order of `position` keeps if it skips every row that shares a key with one kept before.
 
-    position must be unique; keys is an array. Each round keeps the rows that come first for all their keys among
+    position must be unique and may be a struct; keys is an array. Each round keeps the rows that come first for all their keys among
     those undecided, and drops their neighbours; rounds are written tables, few in practice. Rows without keys stay.
     """
     spark, n = df.sparkSession, 0
@@ -85,8 +85,7 @@ def capped_selection(df: DataFrame, task: str, score: str, uuid: str, lineage: s
     best = [F.desc(score), F.asc(uuid)]
     w = Window.partitionBy(task)
     rows = df.withColumn("_round", F.row_number().over(w.orderBy(*best))).withColumn("_top", F.max(score).over(w)).where(F.col("_round") <= per_task)
-    # One number that sorts like (round, task's best score, task): equal places do not occur within a round.
-    place = F.row_number().over(Window.partitionBy("_round").orderBy(F.desc("_top"), task))
-    rows = rows.withColumn("_place", F.col("_round").cast("long") * F.lit(2**40) + place)
+    # A place is a struct that sorts like (round, task's best score, task), so nothing needs a global numbering.
+    rows = rows.withColumn("_place", F.struct("_round", (-F.col("_top")).alias("top"), F.col(task).alias("task")))
     kept = conflict_free(rows, "_place", lineage, shared_folder).orderBy("_place")
     return (kept.limit(target) if target > 0 else kept).drop("_round", "_top", "_place")

@@ -123,10 +123,10 @@ def offset_over_eligible(spark, d):
 
 
 @plan("""WITH t AS (SELECT s_suppkey, unnest(range(3)) AS rollout FROM supplier)
-  SELECT s_suppkey, rollout::INT AS rollout, s_suppkey * 3 + rollout AS run_index FROM t WHERE NOT (s_suppkey % 7 = 0 AND rollout = 1)""")
+  SELECT s_suppkey, rollout::INT AS rollout, s_suppkey * 3 + rollout AS run_index FROM t WHERE NOT (s_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) AND rollout = 1)""")
 def rollout_replication(spark, d):
     rows = T(spark, d, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("rollout"))
-    done = rows.where("s_suppkey % 7 = 0 and rollout = 1")
+    done = T(spark, d, "supplier").where("s_acctbal < 0").select("s_suppkey", F.lit(1).alias("rollout"))
     return rows.join(done, ["s_suppkey", "rollout"], "left_anti").withColumn("run_index", F.col("s_suppkey") * 3 + F.col("rollout"))
 
 
@@ -162,13 +162,13 @@ def override_join(spark, d):
     return out.select("c_custkey", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "c_mktsegment")
 
 
-@plan("""WITH u AS (SELECT o_custkey, o_orderpriority AS p, NULL AS s, 0 AS k FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 5 = 0 UNION ALL
-  SELECT o_custkey, NULL, o_orderstatus, 1 FROM orders WHERE o_orderkey % 5 = 1)
+@plan("""WITH u AS (SELECT o_custkey, o_orderpriority AS p, NULL AS s, 0 AS k FROM orders WHERE o_orderstatus = 'O' UNION ALL
+  SELECT o_custkey, NULL, o_orderstatus, 1 FROM orders WHERE o_orderstatus <> 'O')
   SELECT o_custkey, max(p) AS p, max(s) AS s FROM u GROUP BY 1""")
 def merge_by_priority(spark, d):
     o = T(spark, d, "orders")
-    a = o.where("o_orderstatus = 'O' and o_orderkey % 5 = 0").groupBy("o_custkey").agg(F.max("o_orderpriority").alias("p")).withColumn("s", F.lit(None).cast("string"))
-    b = o.where("o_orderkey % 5 = 1").groupBy("o_custkey").agg(F.max("o_orderstatus").alias("s")).withColumn("p", F.lit(None).cast("string"))
+    a = o.where("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.max("o_orderpriority").alias("p")).withColumn("s", F.lit(None).cast("string"))
+    b = o.where("o_orderstatus <> 'O'").groupBy("o_custkey").agg(F.max("o_orderstatus").alias("s")).withColumn("p", F.lit(None).cast("string"))
     return joins.merge_by_priority([a, b], "o_custkey", ["p", "s"])
 
 
@@ -356,13 +356,13 @@ def contiguous_shards(spark, d):
     return contiguous(T(spark, d, "supplier").select("s_suppkey"), "s_suppkey", 7).select("s_suppkey", "shard")
 
 
-@plan("""SELECT s_suppkey, s_name, 'parent' AS origin FROM supplier WHERE s_suppkey < 50 UNION ALL
-  SELECT * FROM (SELECT c_custkey, c_name, 'new' FROM customer WHERE c_custkey BETWEEN 40 AND 120 QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) = 1)""")
+@plan("""SELECT s_suppkey, s_name, 'parent' AS origin FROM supplier UNION ALL
+  SELECT * FROM (SELECT c_custkey, c_name, 'new' FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) = 1)""")
 def append_only(spark, d):
     from millrace.sources.writers import append_only as append
 
-    parent = T(spark, d, "supplier").where("s_suppkey < 50").select("s_suppkey", "s_name", F.lit("parent").alias("origin"))
-    new = T(spark, d, "customer").where("c_custkey between 40 and 120").select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"), F.lit("new").alias("origin"), "c_nationkey")
+    parent = T(spark, d, "supplier").select("s_suppkey", "s_name", F.lit("parent").alias("origin"))
+    new = T(spark, d, "customer").select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"), F.lit("new").alias("origin"), "c_nationkey")
     return append(parent, new, ["c_nationkey"], [F.asc("s_suppkey")]).drop("c_nationkey")
 
 
@@ -385,10 +385,9 @@ def _shared(spark: SparkSession) -> str:
 @plan(None)
 def lineage_capped_selection(spark, d):
     """Lines as candidates, orders as tasks, suppliers as lineage; held against a sequential loop in the tests."""
-    li = T(spark, d, "lineitem").where("l_orderkey % 50 = 0")
-    c = li.groupBy("l_orderkey", "l_partkey").agg(F.round(F.max("l_extendedprice"), 0).alias("score"), F.array_sort(F.collect_set(F.col("l_suppkey"))).alias("lineage"))
+    c = T(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.round(F.max("l_extendedprice"), 0).alias("score"), F.array_sort(F.collect_set(F.col("l_suppkey"))).alias("lineage"))
     c = c.select(F.col("l_orderkey").cast("string").alias("task_id"), F.concat_ws("-", "l_orderkey", "l_partkey").alias("uuid"), "score", "lineage")
-    return dedup.capped_selection(c, "task_id", "score", "uuid", "lineage", 2, 60, _shared(spark)).select("task_id", "uuid", "score")
+    return dedup.capped_selection(c, "task_id", "score", "uuid", "lineage", 2, 0, _shared(spark)).select("task_id", "uuid", "score")
 
 
 @plan(None)

@@ -83,20 +83,20 @@ def loss_weights(spark, d):
     return out.select("conv_id", F.col("z.turns").alias("turn"), (~F.coalesce("z.messages.loss", F.lit(True))).alias("masked"), F.col("z.messages.loss_weight").alias("weight"))
 
 
-@plan(f"""WITH RECURSIVE {TURNS}, n AS (SELECT conv_id, conv_id % 8 AS shard, sum(length(text))::BIGINT AS n FROM t GROUP BY 1), o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY conv_id) AS i FROM n WHERE n <= 8000),
+@plan(f"""WITH RECURSIVE {TURNS}, n AS (SELECT conv_id, conv_id % 8 AS shard, sum(length(text))::BIGINT AS n FROM t GROUP BY 1), o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY conv_id) AS i FROM n),
   p AS (SELECT conv_id, shard, n, i, 0::BIGINT AS pack, 0 AS doc, 0::BIGINT AS start FROM o WHERE i = 1 UNION ALL
-    SELECT o.conv_id, o.shard, o.n, o.i, CASE WHEN p.start + p.n + o.n > 8000 OR p.start + p.n = 8000 THEN p.pack + 1 ELSE p.pack END, CASE WHEN p.start + p.n + o.n > 8000 OR p.start + p.n = 8000 THEN 0 ELSE p.doc + 1 END,
-      CASE WHEN p.start + p.n + o.n > 8000 OR p.start + p.n = 8000 THEN 0 ELSE p.start + p.n END FROM p JOIN o ON o.shard = p.shard AND o.i = p.i + 1)
+    SELECT o.conv_id, o.shard, o.n, o.i, CASE WHEN p.start + p.n + o.n > 32768 OR p.start + p.n = 32768 THEN p.pack + 1 ELSE p.pack END, CASE WHEN p.start + p.n + o.n > 32768 OR p.start + p.n = 32768 THEN 0 ELSE p.doc + 1 END,
+      CASE WHEN p.start + p.n + o.n > 32768 OR p.start + p.n = 32768 THEN 0 ELSE p.start + p.n END FROM p JOIN o ON o.shard = p.shard AND o.i = p.i + 1)
   SELECT conv_id, shard, n, pack, doc::INT AS doc, start AS "offset" FROM p""")
 def next_fit_packs(spark, d):
     t = T(spark, d, "conversations").where(M.normalize_role(F.col("role")).isNotNull())
-    n = t.groupBy("conv_id").agg(F.sum(F.length("text")).alias("n")).withColumn("shard", F.col("conv_id") % 8).where("n <= 8000")
-    return stateful.pack_next_fit(n, "shard", ["conv_id"], "n", 8000)
+    n = t.groupBy("conv_id").agg(F.sum(F.length("text")).alias("n")).withColumn("shard", F.col("conv_id") % 8)
+    return stateful.pack_next_fit(n, "shard", ["conv_id"], "n", 32768)
 
 
-@plan(ORACLES["next_fit_packs"].replace('SELECT conv_id, shard, n, pack, doc::INT AS doc, start AS "offset" FROM p', "SELECT shard, pack, count(*) AS n_docs, sum(n)::BIGINT AS used, (8000 - sum(n))::BIGINT AS pad FROM p GROUP BY ALL"))
+@plan(ORACLES["next_fit_packs"].replace('SELECT conv_id, shard, n, pack, doc::INT AS doc, start AS "offset" FROM p', "SELECT shard, pack, count(*) AS n_docs, sum(n)::BIGINT AS used, (32768 - sum(n))::BIGINT AS pad FROM p GROUP BY ALL"))
 def pack_sizes(spark, d):
-    return stateful.pack_lengths(next_fit_packs(spark, d), "shard", "n", 8000).select("shard", "pack", "n_docs", "used", "pad")
+    return stateful.pack_lengths(next_fit_packs(spark, d), "shard", "n", 32768).select("shard", "pack", "n_docs", "used", "pad")
 
 
 @plan("WITH q AS (" + ORACLES["pack_sizes"] + "), c AS (SELECT shard, count(*) AS n FROM q GROUP BY 1) SELECT max(n) AS most, (ceil(max(n) / 4) * 4)::BIGINT AS rounded FROM c")
