@@ -20,7 +20,7 @@ WIDTH, RADIUS, MEETINGS = 5, 12, 6
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below one half."""
     weights, bias = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, weights, bias).where("score < 0.5").drop("score")
+    return toxicity.score(docs, weights, bias, name="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -210,13 +210,13 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string")) % FOLDS == 0
 
 
-def score(docs: DataFrame, weights: dict, bias: float, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with score, the classifier's chance that the text is toxic. Null texts score as empty ones."""
+def score(docs: DataFrame, weights: dict, bias: float, text: str = "text", name: str = "score") -> DataFrame:
+    """docs with a column `name`, the classifier's chance that the text is toxic. Null texts score as empty ones."""
     import copy
 
     from pyspark.sql import types as T
 
-    schema = copy.deepcopy(docs.schema).add("score", T.DoubleType())
+    schema = copy.deepcopy(docs.schema).add(name, T.DoubleType())
 
     def run(stream) -> Iterator:
         import math
@@ -235,7 +235,7 @@ def score(docs: DataFrame, weights: dict, bias: float, key: str = "doc_id", text
             return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))
 
         for batch in batches(stream, 1024, 4_000_000, text):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([one(t or "") for t in batch.column(text).to_pylist()], pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([one(t or "") for t in batch.column(text).to_pylist()], pa.float64())], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -249,5 +249,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     fixed classifier over the lexicons takes over; repeated rows score alike and an empty table gives no rows.
     """
     weights, bias = train(docs, labels, key, text)
-    out = score(docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)), weights, bias, key, text)
+    out = score(docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)), weights, bias, text)
     return out.select(key, F.coalesce(held_out(key), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -98,7 +98,7 @@ def test_an_item_in_a_third_of_all_documents_keeps_its_seeds(spark):
 
 
 def test_pipeline_stages(spark, data):
-    docs = spark.read.parquet(f"{data}/documents.parquet")
+    docs = spark.read.parquet(f"{data}/documents.parquet").selectExpr("*", "1 as score", "'x' as fp", "2 as k", "3 as h")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, data)
         assert out.columns == docs.columns, name
