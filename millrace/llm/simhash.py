@@ -88,27 +88,23 @@ def forest(fps, ids, radius: int, cut: int = 0):
     pops = np.bitwise_count(fps).astype(np.int64)
     sides = [np.arange(len(fps))] * 2 if not cut else [np.arange(cut), np.arange(cut, len(fps))]
     sides = [x[np.argsort(pops[x], kind="stable")] for x in sides]
-    root = list(range(len(fps)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    out = []
+    label, out = np.arange(len(fps)), []
     tiles = [[x[i : i + TILE] for i in range(0, len(x), TILE)] for x in sides]
     for i, a in enumerate(tiles[0]):
         low, high = pops[a[0]] - radius, pops[a[-1]] + radius
         for j, b in enumerate(tiles[1]):
             if (not cut and j < i) or pops[b[-1]] < low or pops[b[0]] > high:
                 continue
-            x, y = np.nonzero(np.bitwise_count(fps[a][:, None] ^ fps[b][None, :]) <= radius)
-            for p, q in zip(a[x].tolist(), b[y].tolist(), strict=True):
-                p0, q0 = find(p), find(q)
-                if p0 != q0:
-                    root[max(p0, q0)] = min(p0, q0)
-                    out.append((p, q))
-    return [(int(ids[p]), int(ids[q])) for p, q in out]
+            hit = np.bitwise_count(fps[a][:, None] ^ fps[b][None, :]) <= radius
+            hit &= label[a][:, None] != label[b][None, :]
+            for row in np.flatnonzero(hit.any(axis=1)).tolist():
+                p, near = a[row], b[hit[row]]
+                # one link to each component that is near; what is joined already needs none
+                for other in np.unique(label[near]).tolist():
+                    if other != label[p]:
+                        out.append((int(ids[p]), int(ids[near[(label[near] == other).argmax()]])))
+                        label[label == other] = label[p]
+    return out
 
 
 def links(nodes: DataFrame, radius: int = 3, meetings: int = 0) -> DataFrame:
