@@ -22,7 +22,7 @@ WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Words longer than this are merged with a heap: a word that allows one merge a round would need too many rounds.
 LONG_WORD = 400
 #: Distinct words kept between batches.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

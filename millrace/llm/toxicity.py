@@ -118,8 +118,8 @@ def logistic(rows, cols, values, n: int, m: int, target, l2: float = 0.5, newton
     return w[:-1], float(w[-1])
 
 
-def traits(bags: list) -> Iterator[tuple[list, object, object, object]]:
-    """(names, text, feature, count) of each kind of feature: whole words, then how many of a text's words share a
+def traits(bags: list) -> Iterator[tuple[str, list, object, object, object]]:
+    """(mark, names, text, feature, count) of each kind of feature, whose full name is mark + name: whole words, then how many of a text's words share a
     beginning (8 at most). bags holds each text's distinct words; one kind at a time is in memory.
     """
     import numpy as np
@@ -128,13 +128,14 @@ def traits(bags: list) -> Iterator[tuple[list, object, object, object]]:
     word = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for bag in bags for w in bag), np.int64)
     text = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
     names = list(vocabulary)
-    yield ["=" + w for w in names], text, word, np.ones(len(word), np.int64)
+    del vocabulary
+    yield "=", names, text, word, np.ones(len(word), np.int64)
     for n in PREFIXES:
         heads: dict = {}
         head = np.fromiter((heads.setdefault(w[:n], len(heads)) if len(w) >= n else -1 for w in names), np.int64, len(names))[word]
         has = head >= 0
         pair, count = np.unique(text[has] * max(1, len(heads)) + head[has], return_counts=True)
-        yield list(heads), pair // max(1, len(heads)), pair % max(1, len(heads)), np.minimum(count, 8)
+        yield "", list(heads), pair // max(1, len(heads)), pair % max(1, len(heads)), np.minimum(count, 8)
 
 
 def fit(sample: list) -> tuple[dict, float]:
@@ -145,7 +146,7 @@ def fit(sample: list) -> tuple[dict, float]:
     labels = np.array([y for _, _, y in sample], float)
     n, n1 = len(sample), labels.sum()
     found, cells = [], []
-    for names, text, feature, count in traits(bags):
+    for mark, names, text, feature, count in traits(bags):
         c1 = np.bincount(feature, weights=labels[text], minlength=len(names))
         c0 = np.bincount(feature, minlength=len(names)) - c1
         odds = np.log((c1 + 0.3) / (n1 - c1 + 0.6)) - np.log((c0 + 0.3) / (n - n1 - c0 + 0.6))
@@ -154,7 +155,7 @@ def fit(sample: list) -> tuple[dict, float]:
         top = top[gain[top] > 0]
         at = np.full(len(names), -1)
         at[top] = np.arange(len(found), len(found) + len(top))
-        found += [(float(gain[i]), names[i], float(odds[i]), float(c1[i])) for i in top.tolist()]
+        found += [(float(gain[i]), mark + names[i], float(odds[i]), float(c1[i])) for i in top.tolist()]
         own = at[feature] >= 0
         cells.append(np.stack([text[own], at[feature[own]], count[own]]))
     rows, cols, values = np.concatenate(cells, axis=1)
