@@ -35,6 +35,8 @@ PATTERNS = (
     r"!{3,}|\?!\?!",
 )
 WORDS = re.compile(r"\w+")
+#: The classifier also counts a text's distinct words of the first lexicons; the later ones hold words of other languages.
+COUNTED = frozenset(w for lex in LEXICONS[:3] for w in lex)
 #: Labelled rows used to fit the models, at most; taken in the order of a hash of their id.
 SAMPLE = 8_000
 #: Word beginnings of these lengths are features beside whole words.
@@ -119,8 +121,10 @@ def logistic(rows, cols, values, n: int, m: int, target, l2: float = 0.5, newton
 
 
 def traits(bags: list) -> Iterator[tuple[str, list, object, object, object]]:
-    """(mark, names, text, feature, count) of each kind of feature, whose full name is mark + name: whole words, then how many of a text's words share a
-    beginning (8 at most). bags holds each text's distinct words; one kind at a time is in memory.
+    """(mark, names, text, feature, count) of each kind of feature, whose full name is mark + name.
+
+    How many of a text's words stand in the counted lexicons, then its whole words, then how many of them share a
+    beginning; 8 at most each. bags holds each text's distinct words; one kind at a time is in memory.
     """
     import numpy as np
 
@@ -128,6 +132,9 @@ def traits(bags: list) -> Iterator[tuple[str, list, object, object, object]]:
     word = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for bag in bags for w in bag), np.int64)
     text = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
     names = list(vocabulary)
+    hits = np.bincount(text[np.fromiter((w in COUNTED for w in names), bool, len(names))[word]], minlength=len(bags))
+    some = np.flatnonzero(hits)
+    yield "#", ["lexicons"], some, np.zeros(len(some), np.int64), np.minimum(hits[some], 8)
     del vocabulary
     yield "=", names, text, word, np.ones(len(word), np.int64)
     for n in PREFIXES:
@@ -225,11 +232,12 @@ def score(docs: DataFrame, weights: dict, bias: float, text: str = "text", name:
         import pyarrow as pa
 
         whole = {f[1:]: w for f, w in weights.items() if f[0] == "="}
-        heads = [(n, {f: w for f, w in weights.items() if f[0] != "=" and len(f) == n}) for n in PREFIXES]
+        heads = [(n, {f: w for f, w in weights.items() if f[0] not in "=#" and len(f) == n}) for n in PREFIXES]
+        counted = weights.get("#lexicons", 0.0)
 
         def one(t: str) -> float:
             words, x = set(WORDS.findall(t.lower())), bias
-            x += sum(map(whole.__getitem__, words & whole.keys()))
+            x += sum(map(whole.__getitem__, words & whole.keys())) + counted * min(8, len(words & COUNTED))
             for n, table in heads:
                 if hits := [h for w in words if (h := w[:n]) in table]:
                     x += sum(table[h] * min(8, hits.count(h)) for h in set(hits))
