@@ -59,7 +59,8 @@ def average_ranks(df: DataFrame, col: str, name: str, group: list[str] | None =
 def correlations(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pearson and Spearman correlation of two columns; NaN where one does not vary."""
     ranked = average_ranks(average_ranks(df, a, "_ra"), b, "_rb")
-    safe = lambda x, y: F.when((F.stddev_pop(x) == 0) | (F.stddev_pop(y) == 0), F.lit(float("nan"))).otherwise(F.corr(x, y))
+    both = lambda x, y: F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    safe = lambda x, y: F.coalesce(F.covar_pop(x, y) / both(x, y), F.lit(float("nan")))
     return ranked.agg(safe(a, b).alias("pearson"), safe("_ra", "_rb").alias("spearman"))
 
 
