@@ -154,7 +154,7 @@ def prompt_response(prompt: Column, response: Column, context: Column | None = N
     return F.array(turn("user", asked), turn("assistant", response))
 
 
-def swift_view(messages: Column) -> Column:
+def trainer_view(messages: Column) -> Column:
     """Messages of user, assistant and system only: tool turns become user turns in tool_response tags, neighbours of
     which merge; what follows the last assistant turn goes; without one the result is empty."""
     view = F.transform(messages, lambda m: F.struct(

@@ -56,8 +56,8 @@ def reasoning_shares(spark, d):
   k AS (SELECT *, sum(fresh) OVER (PARTITION BY conv_id ORDER BY turn) AS grp FROM g WHERE turn <= last),
   m AS (SELECT conv_id, grp, any_value(r) AS r, string_agg(c, chr(10) ORDER BY turn) AS c FROM k GROUP BY ALL)
   SELECT conv_id, count(*) AS n_messages, sha256(string_agg(r || ':' || c, chr(10) ORDER BY grp)) AS digest FROM m GROUP BY 1""")
-def swift_views(spark, d):
-    rows = traces(spark, d).withColumn("v", M.swift_view(F.col("messages"))).where(F.size("v") > 0)
+def trainer_views(spark, d):
+    rows = traces(spark, d).withColumn("v", M.trainer_view(F.col("messages"))).where(F.size("v") > 0)
     return rows.select("conv_id", F.size("v").cast("long").alias("n_messages"), F.sha2(F.array_join(F.transform("v", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n"), 256).alias("digest"))
 
 
