@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from millrace.llm import decontaminate, lines, pieces, simhash, toxicity
 from millrace.llm.common import materialize, table
 
-#: Near-duplicates: words in a shingle, differing bits of 64 (a similarity above 0.8), rarest shingles to meet by.
-WIDTH, RADIUS, MEETINGS = 5, 12, 6
+#: Near-duplicates: words in a shingle and the least Jaccard similarity, as a fraction.
+WIDTH, LEAST = 5, (4, 5)
+#: What proposes pairs to recount: differing bits of 64, and minhashes of which one must be shared. A pair at LEAST
+#: fails the first with a chance of 1e-8 (1e-6 if the texts have 8 words), the second with one of 0.2 ** 10 = 1e-7.
+RADIUS, MEETINGS = 28, 10
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +34,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id; rows that repeat an id count once."""
-    found = simhash.near_duplicates(docs, WIDTH, RADIUS, meetings=MEETINGS)
+    found = simhash.similar(docs, WIDTH, RADIUS, MEETINGS, LEAST)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     return docs.join(gone, "doc_id", "left_anti").withColumn("_again", again).where("_again = 1 or doc_id is null").select(docs.columns)

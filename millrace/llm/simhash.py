@@ -5,6 +5,9 @@ that can link. Within such a bucket numpy compares tiles of fingerprints, sorted
 exclusive-or and bit counts; tile pairs whose counts differ beyond the radius are skipped. A bucket above
 SPLIT fingerprints is dealt to several tasks as pairs of parts. Each task returns a spanning forest of its
 links, never all pairs, so that nothing grows with the square of a group.
+
+`similar` links by Jaccard similarity instead: there fingerprints and shared minhashes only propose pairs, and
+each pair is recounted on its shingle sets.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ BITS = 64
 TILE = 1024
 #: Fingerprints of one bucket in a single task; above it the bucket is split into parts of this size.
 SPLIT = 16_384
+#: The same where shingle sets are recounted: rows, and shingles of all rows together.
+SPLIT_SETS, SPLIT_SHINGLES = 4096, 4_000_000
 
 
 def shingle_hashes(text: str, width: int):
@@ -78,10 +83,71 @@ def fingerprints(docs: DataFrame, width: int = 3, key: str = "doc_id", text: str
     return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, f"{key} long, fp long, meet array<long>")
 
 
-def forest(fps, ids, radius: int, cut: int = 0):
+def shingle_sets(docs: DataFrame, width: int, meetings: int, text: str = "text") -> DataFrame:
+    """docs without text, plus d1 and d2 (a digest of the set of shingles), fp, meet, size and shingles.
+
+    fp and meet are those of the distinct shingles. meetings 0: shingles is the sorted set, 8 bytes each; else it
+    is null, for the sets are as large as the texts.
+    """
+    kept = [f for f in docs.schema.fields if f.name != text]
+    names = [*(f.name for f in kept), "d1", "d2", "fp", "meet", "size", "shingles"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+
+    def run(stream) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches(stream, 2048, 8_000_000, text):
+            out = []
+            for t in batch.column(text).to_pylist():
+                hashes = np.unique(shingle_hashes(t or "", width))
+                raw = hashes.tobytes()
+                digest = xxhash.xxh3_128_intdigest(raw)
+                meet = np.array(rarest(hashes, meetings), np.uint64).view(np.int64)
+                fp = fingerprint(hashes)
+                out.append(((digest >> 64) - 2**63, (digest & (2**64 - 1)) - 2**63, fp - (fp >> 63 << 64), meet, len(hashes), None if meetings else raw))
+            made = list(zip(*out, strict=True)) or [[]] * 6
+            types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(pa.array(c, t) for c, t in zip(made, types, strict=True))], names)
+
+    return docs.mapInArrow(run, f"{kinds}, d1 long, d2 long, fp long, meet array<long>, size long, shingles binary")
+
+
+class Recount:
+    """Which rows are similar, by recounting their sets of shingles: |A and B| of |A or B| at least num / den."""
+
+    def __init__(self, sets: list, num: int, den: int):
+        import numpy as np
+
+        sets = [np.frombuffer(x, np.uint64) for x in sets]
+        self.num, self.den = num, den
+        self.size = np.array([len(x) for x in sets], np.int64)
+        _, back = np.unique(np.concatenate(sets), return_inverse=True)
+        self.sets = np.split(back, np.cumsum(self.size)[:-1])
+        self.mark = np.zeros(len(back) + 1, bool)
+
+    def __call__(self, p: int, others):
+        """Which of the other rows are similar to row p."""
+        import numpy as np
+
+        a, b = self.size[p], self.size[others]
+        out = self.den * np.minimum(a, b) >= self.num * np.maximum(a, b)
+        out &= b > 0
+        at = np.flatnonzero(out)
+        if len(at):
+            self.mark[self.sets[p]] = True
+            shared = np.add.reduceat(self.mark[np.concatenate([self.sets[i] for i in others[at]])].astype(np.int64), np.append(0, np.cumsum(b[at])[:-1]))
+            self.mark[self.sets[p]] = False
+            out[at] = self.den * shared >= self.num * (a + b[at] - shared)
+        return out
+
+
+def forest(fps, ids, radius: int, cut: int = 0, recount=None):
     """Pairs (id, id) that join exactly what the links of these fingerprints join.
 
-    cut: if not 0, only rows before it are compared with rows from it on.
+    cut: if not 0, only rows before it are compared with rows from it on. recount: tells, for a row and the rows
+    within the radius of it, which are links; without it all are.
     """
     import numpy as np
 
@@ -99,6 +165,9 @@ def forest(fps, ids, radius: int, cut: int = 0):
             hit &= label[a][:, None] != label[b][None, :]
             for row in np.flatnonzero(hit.any(axis=1)).tolist():
                 p, near = a[row], b[hit[row]]
+                if recount is not None:
+                    near = near[label[near] != label[p]]
+                    near = near[recount(p, near)]
                 # one link to each component that is near; what is joined already needs none
                 for other in np.unique(label[near]).tolist():
                     if other != label[p]:
@@ -107,24 +176,34 @@ def forest(fps, ids, radius: int, cut: int = 0):
     return out
 
 
-def links(nodes: DataFrame, radius: int = 3, meetings: int = 0) -> DataFrame:
+def links(nodes: DataFrame, radius: int = 3, meetings: int = 0, least: tuple[int, int] | None = None, sets=None) -> DataFrame:
     """A spanning forest (a, b) of the links between the nodes (id, fp, meet): fingerprints within the radius.
 
     Without meetings, all links: nodes meet where a block of bits is equal, fp must be distinct. With them, the
     links of nodes that share one of their rarest shingles: blocks of bits no longer part anything at a wide
     radius. Edges join what links join; they are links themselves.
+
+    least: a fraction (num, den); links must also have that Jaccard similarity, recounted on sets. Nodes then have
+    a size, and sets makes a table (id, shingles) for a table of ids: only nodes that meet another need them.
     """
     blocks = radius + 1
     width = -(-BITS // blocks)
     bits = F.array(*(F.expr(f"shiftrightunsigned(fp, {i * width})").bitwiseAND((1 << width) - 1 if width < 63 else -1) for i in range(blocks)))
-    keyed = nodes.select("id", "fp", F.posexplode(F.col("meet") if meetings else bits).alias("block", "value"))
+    keyed = nodes.select("id", "fp", *(["size"] if least else []), F.posexplode(F.col("meet") if meetings else bits).alias("block", "value"))
     # Parts: 1 for nearly every bucket. Their number comes from a count per bucket, combined before the shuffle.
-    counts = keyed.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / SPLIT).cast("int"))
+    rows = F.count(F.lit(1))
+    parts = F.greatest(F.ceil(rows / SPLIT_SETS), F.ceil(F.sum("size") / SPLIT_SHINGLES)) if least else F.ceil(rows / SPLIT)
+    counts = keyed.groupBy("block", "value").agg(rows.alias("n"), parts.cast("int").alias("parts")).where("n > 1")
     keyed = keyed.join(counts, ["block", "value"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int"))
     # A part meets every part of its bucket: the task (low, high) holds the rows of both.
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     units = keyed.withColumn("with", other).select("block", "value", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "id", "fp")
     unit = ["block", "value", "low", "high"]
+    carried = [*unit, "part", "id", "fp"]
+    if least:
+        units = materialize(units, "units")
+        units = units.join(sets(units.select("id").distinct()).hint("merge"), "id").select(*carried, "shingles")
+        carried = [*carried, "shingles"]
 
     def run(stream) -> Iterator:
         import numpy as np
@@ -151,7 +230,7 @@ def links(nodes: DataFrame, radius: int = 3, meetings: int = 0) -> DataFrame:
                 hit = np.flatnonzero(same & (np.bitwise_count(fps[shift:] ^ fps[:-shift]) <= radius))
                 for p, q in zip(hit.tolist(), (hit + shift).tolist(), strict=True):
                     p0, q0 = find(p), find(q)
-                    if p0 != q0:
+                    if p0 != q0 and (not least or Recount([rows["shingles"][p], rows["shingles"][q]], *least)(0, np.array([1]))[0]):
                         root[max(p0, q0)] = min(p0, q0)
                         out.append((int(ids[p]), int(ids[q])))
             for u in np.flatnonzero(size > 32).tolist():
@@ -159,11 +238,11 @@ def links(nodes: DataFrame, radius: int = 3, meetings: int = 0) -> DataFrame:
                 two = rows["low"][s.start] != rows["high"][s.start]
                 cut = int((rows["part"][s] == rows["low"][s.start]).sum()) if two else 0
                 if not two or 0 < cut < size[u]:
-                    out += forest(fps[s], ids[s], radius, cut)
+                    out += forest(fps[s], ids[s], radius, cut, Recount(rows["shingles"][s], *least) if least else None)
             return out
 
         for batch in stream:
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*unit, "part", "id", "fp"]}
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in carried}
             if held is not None:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
             n = len(rows["fp"])
@@ -199,3 +278,29 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, key: str =
     found = components(links(nodes.where("id is not null"), radius, meetings))
     named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("fp", "meet", F.coalesce("component", "id").alias("component_id"))
     return prints.join(named, ["fp", "meet"]).select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def similar(docs: DataFrame, width: int, radius: int, meetings: int, least: tuple[int, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, component_id) of every document whose set of word shingles is as similar as least to another's.
+
+    Links are pairs of Jaccard similarity num / den or more, recounted on the sets' 64-bit shingle hashes.
+    Proposed are the pairs that share one of `meetings` minhashes and whose fingerprints differ in at most
+    radius bits; equal sets always link. component_id: the smallest key reachable by links. Texts without words
+    have equal sets. Null keys are left out.
+    """
+    own = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("v"), F.col(text).cast("string").alias("text")).where("id is not null")
+    prints = materialize(shingle_sets(own, width, meetings).drop("shingles"), "prints")
+    nodes = materialize(prints.groupBy("d1", "d2").agg(F.min(F.struct("id", "v")).alias("lo"), F.first("fp").alias("fp"), F.first("meet").alias("meet"), F.first("size").alias("size")), "nodes")
+    # A node's number is its digest: two sets may have one key.
+    nodes = nodes.select(F.col("d1").alias("id"), "d2", "lo", "fp", "meet", "size")
+
+    def sets(ids: DataFrame) -> DataFrame:
+        wanted = nodes.join(ids, "id", "left_semi").select(F.col("id").alias("node"), F.col("lo.id").alias("id"), F.col("lo.v").alias("v"))
+        texts = own.dropDuplicates(["id", "v"]).join(wanted.hint("merge"), ["id", "v"]).select("node", "text")
+        return shingle_sets(texts, width, 0).select(F.col("node").alias("id"), "shingles")
+
+    found = components(links(nodes, radius, meetings, least, sets))
+    named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("d2", F.col("id").alias("d1"), "lo", F.coalesce("component", "id").alias("c"))
+    heads = named.groupBy("c").agg(F.min("lo.id").alias("component_id"))
+    named = named.join(heads, "c").select("d1", "d2", "component_id")
+    return prints.join(named, ["d1", "d2"]).select(F.col("id").alias(key), "component_id")

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -126,6 +127,45 @@ def test_wide_radius_keeps_near_copies_together(spark):
     assert got == {1: 1, 2: 1, 3: 3}
 
 
+def similar_texts(seed: int = 12) -> list:
+    """Texts of few and many words, edited so that similarities lie on both sides of 0.8, and one text of many repeats."""
+    r = random.Random(seed)
+    line = lambda n: [f"w{r.randrange(3000)}" for _ in range(n)]
+    texts = []
+    for n in (8, 9, 24, 60, 200, 500):
+        for edits in range(1, 8):
+            a = line(n)
+            b = list(a)
+            for _ in range(max(1, edits * n // 140)):
+                b[r.randrange(n)] = f"x{r.randrange(99)}"
+            texts += [a, b, a[: n - edits * n // 30]]
+    loop = line(8)
+    texts += [line(30) + loop, texts[-1][:20] + loop * 3, loop * 40 + line(6), loop + line(6), loop, loop * 2, loop * 50]
+    base = line(120)  # a large group: nearly all pairs of it are below 0.8, and some are not
+    texts += [[w if r.random() > 0.01 * (i % 9) else f"y{r.randrange(99)}" for w in base] for i in range(70)]
+    return [*map(" ".join, texts), None, "", " ", "one"]
+
+
+def jaccard_links(texts, width=5):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({" ".join(w[i : i + width]) for i in range(len(w) - width + 1)} or ({" ".join(w)} if w else set()))
+    return [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+
+
+@pytest.mark.parametrize("split", [4096, 20])
+def test_near_copies_are_those_of_similarity_0_8(spark, monkeypatch, split):
+    monkeypatch.setattr(simhash, "SPLIT_SETS", split)
+    texts = similar_texts()
+    comp = roots(len(texts), jaccard_links(texts))
+    df = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int").repartition(5)
+    got = {x.doc_id for x in corpus_pipeline.drop_near_copies(spark, df, "").collect()}
+    assert got == {i for i, c in enumerate(comp) if i == c}
+    assert 20 < len(got) < len(texts) - 20
+    assert corpus_pipeline.drop_near_copies(spark, df.where("false"), "").count() == 0
+
+
 def brute_removal(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
