@@ -27,8 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the multi-line chunks that an earlier document has; n_chars follows the text."""
-    out = lines.dedup_lines(docs)
+    """Documents without the runs of lines that an earlier place has; n_chars follows the text."""
+    out = lines.dedup_lines(docs, runs=True)
     return out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 

@@ -3,7 +3,8 @@
 Only DataFrame functions run here. A rolling hash over the hashes of neighbouring lines decides, from these
 lines alone, where a chunk ends, so chunks fall alike wherever a passage is moved. Divisors nest: coarser
 chunks are unions of finer ones and cover what the finest leaves as single lines. Chunks meet by hash; the
-texts of those that do are compared byte by byte. Joins are sort-merge joins at every size: either side may be large, and AQE splits hot keys.
+texts of those that do are compared byte by byte. With `runs`, every two neighbouring lines are a chunk as well,
+so a repeated run of lines goes whole wherever the cuts fall. Joins are sort-merge joins at every size: either side may be large, and AQE splits hot keys.
 """
 
 from __future__ import annotations
@@ -53,7 +54,17 @@ def _chunk_text(c) -> Column:
     return F.array_join(F.slice("_lines", c["s"] + 1, c["n"]), "\n")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", divisors: tuple = DIVISORS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def _long_runs(spans: str, lines: Column, least_chars: int) -> Column:
+    """Overlapping spans (s, n) of lines united, without those of fewer characters; null if none is left."""
+    # Sorted by s: a span begins a run if it starts where all before it have ended, and ends one if the next begins one.
+    spans = F.array_sort(spans)
+    reach = F.aggregate(spans, F.struct(F.array().cast("array<struct<s:int,n:int>>").alias("runs"), F.lit(0).alias("s"), F.lit(0).alias("e")), lambda a, g: F.when(g["s"] < a["e"], F.struct(a["runs"].alias("runs"), a["s"].alias("s"), F.greatest(a["e"], g["s"] + g["n"]).alias("e"))).otherwise(F.struct(F.concat(a["runs"], F.array(F.struct(a["s"].alias("s"), (a["e"] - a["s"]).alias("n")))).alias("runs"), g["s"].alias("s"), (g["s"] + g["n"]).alias("e"))), lambda a: F.concat(a["runs"], F.array(F.struct(a["s"].alias("s"), (a["e"] - a["s"]).alias("n")))))
+    chars = lambda c: F.aggregate(F.slice(lines, c["s"] + 1, c["n"]), F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+    long = F.filter(reach, lambda c: (c["n"] > 0) & (chars(c) + c["n"] - 1 >= least_chars))
+    return F.when(F.size(long) > 0, long)
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", divisors: tuple = DIVISORS, least_chars: int = LEAST_CHARS, runs: bool = False) -> DataFrame:
     """docs with text replaced, plus _n_lines and _n_removed.
 
     Of every multi-line chunk that occurs more than once, in one document or several, the occurrence with the
@@ -61,10 +72,16 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", diviso
     joined by them; a document may become empty, but no row goes. Null texts stay null and have no lines to
     lose; rows with a null key are left as they are and seen by no other; rows with one key and one text
     count as one occurrence and are cut alike, rows with one key and other texts as documents of their own.
+
+    runs: a run of lines also goes if every two neighbouring lines of it occur earlier and it has least_chars
+    characters or more. Of every line that goes an earlier one with the same text stays.
     """
     ident = [F.col(key).alias("_k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_v")]
     own = docs.select(*ident, F.col(text).alias("_t")).where(F.col("_k").isNotNull() & F.col("_t").contains("\n"))
     parts = chunked(own, "_k", "_t", divisors, least_chars)
+    if runs:
+        pairs = F.transform(F.sequence(F.lit(0), F.size("_lines") - 2), lambda i: F.struct(i.alias("s"), F.lit(2).alias("n")))
+        parts = parts.withColumn("_chunks", F.array_union("_chunks", pairs))
     # Which chunk hashes repeat: only keys and hashes are shuffled.
     marks = parts.select("_k", "_v", F.explode(F.transform("_chunks", lambda c: F.struct(c["s"].alias("s"), c["n"].alias("n"), F.xxhash64(_chunk_text(c)).alias("h")))).alias("c")).select("_k", "_v", "c.*")
     marks = materialize(marks, "marks")
@@ -80,6 +97,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", diviso
     gone = materialize(gone, "gone")
     out = docs.withColumns(dict(zip(("_k", "_v"), (c for c in (F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))), strict=True))).join(gone.hint("merge"), ["_k", "_v"], "left")
     lines = F.split(text, "\n")
+    if runs:
+        out = out.withColumn("_gone", _long_runs("_gone", lines, least_chars))
     kept = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (i >= g["s"]) & (i < g["s"] + g["n"])))
     out = out.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
     count = F.coalesce(F.size(lines), F.lit(0))

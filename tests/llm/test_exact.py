@@ -256,6 +256,33 @@ def test_line_dedup_keeps_the_first_of_each_passage(spark, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_repeated_runs_of_lines_go_whole(spark):
+    r = random.Random(5)
+    line = lambda n=9: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 2, 3, 3, 4, 7)] + [["}", "", "}"], [line(2) for _ in range(9)]]
+    texts = ["\n".join([*(line() for _ in range(r.randrange(4))), *r.choice(passages), *(line() for _ in range(r.randrange(4)))]) for _ in range(150)] + ["\n".join([line(20)] * 5), "\n\n\n", "one"]
+    seen, want = set(), []
+    for t in texts:
+        rows, gone = t.split("\n"), set()
+        hits = []
+        for i in range(len(rows) - 1):
+            hits.append((rows[i], rows[i + 1]) in seen)
+            seen.add((rows[i], rows[i + 1]))
+        i = 0
+        while i < len(hits):
+            j = i
+            while j < len(hits) and hits[j]:
+                j += 1
+            if j > i and len("\n".join(rows[i : j + 1])) >= 80:
+                gone |= set(range(i, j + 1))
+            i = j + 1
+        want.append("\n".join(x for i, x in enumerate(rows) if i not in gone))
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long").repartition(5)
+    got = {x.doc_id: (x.text, x.n_chars) for x in corpus_pipeline.drop_repeated_lines(spark, df, "").collect()}
+    assert got == {i: (t, len(t)) for i, t in enumerate(want)}
+    assert sum(map(len, want)) < 0.8 * sum(map(len, texts))
+
+
 def test_spotsigs_equal_brute_force(docs, rows, empty):
     order = sorted(rows, reverse=True)
     want = {}
