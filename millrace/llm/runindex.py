@@ -2,8 +2,10 @@
 
 Every window of LENGTH bytes belongs to the least hash among its K-byte strings; the windows that share it
 side by side form a region. Equal windows have equal least hashes, so only regions whose hash occurs again
-anywhere can hold a repeat, and all of a window's copies meet in one group of regions. Groups are packed
-into blocks of bounded size. For each block the distinct regions are joined, their Burrows-Wheeler transform
+anywhere can hold a repeat, and all of a window's copies meet in one group of regions. A group larger than
+a block is split: its windows are parted by where in them the shared string lies, in halves, and by the bytes
+that all windows of such a class have in common. Equal windows stay together, and after at most 9
+halvings a class has one window. Groups are packed into blocks of bounded size. For each block the distinct regions are joined, their Burrows-Wheeler transform
 is built and run-length compressed, and suffix-array samples are kept at the runs' ends only. The samples
 give, streamed in text order, every position's matching statistic: the longest string there that also
 starts elsewhere. Windows whose statistic reaches LENGTH are marked.
@@ -17,12 +19,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches, materialize
+from millrace.llm.common import batches, materialize, release
 
 LENGTH = 400
 #: Bytes hashed to choose a window's group.
 K = 32
-#: Symbols in one index; a larger group is settled by its windows' 64-bit hashes instead.
+#: Symbols in one index; a larger group is split.
 BLOCK = 2_000_000
 BASE, MASK = 0x9E3779B97F4A7C15, 2**64 - 1
 
@@ -173,15 +175,13 @@ def marked(texts: list[bytes], length: int):
     """For each text a boolean array over its windows: whether the window also starts elsewhere in the texts."""
     import numpy as np
 
-    if sum(map(len, texts)) + len(texts) > BLOCK and len(texts) > 1:
-        return by_hash(texts, length)
     index = RunIndex(texts)
     hit = index.matching_statistics() >= length
     return [hit[s : s + len(t) - length + 1] for s, t in zip(index.starts.tolist(), texts, strict=True)] if len(hit) else [np.zeros(0, bool)]
 
 
 def by_hash(texts: list[bytes], length: int):
-    """The same for a group too large for one index: windows are equal if their 64-bit hashes are."""
+    """The same by the windows' 64-bit hashes alone, for tests."""
     import numpy as np
 
     powers = Powers()
@@ -191,6 +191,32 @@ def by_hash(texts: list[bytes], length: int):
     return [hit[e - len(r) : e] for e, r in zip(ends.tolist(), rows, strict=True)]
 
 
+def halves(data: bytes, m: int, shared: int, at: int, level: int, length: int, k: int, powers: Powers):
+    """(group, start, windows, at) of the parts of a region's windows, at a level from 1 on.
+
+    m: the region's group; shared: the hash of the string that its windows share. at: how far behind the first
+    window's start its first such string starts, which falls by one from window to window; -1: to be found, and
+    then a window belongs to the first in it.
+    """
+    import numpy as np
+    import xxhash
+
+    n = len(data) - length + 1
+    if at < 0:
+        where = np.flatnonzero(rolling(np.frombuffer(data, np.uint8), k, powers).view(np.int64) == shared)
+        behind = where[np.searchsorted(where, np.arange(n))] - np.arange(n)
+    else:
+        behind = at - np.arange(n)
+    width = 1 << max(0, (length - k).bit_length() - level)
+    part = behind // width
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(part) != 0) | (np.diff(behind) != -1)]))
+    for s, e in zip(first.tolist(), [*first[1:].tolist(), n], strict=True):
+        low = int(part[s]) * width
+        high = min(low + width - 1, length - k)
+        anchor = s + int(behind[s])
+        yield xxhash.xxh64_intdigest(b"%d %d %d " % (m, level, low) + data[anchor - low : anchor - high + length]) - 2**63, s, e - s, int(behind[s])
+
+
 def covered(hit, length: int) -> list[tuple[int, int]]:
     """Maximal byte ranges covered by the windows that hit."""
     import numpy as np
@@ -227,32 +253,52 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
     spans = materialize(docs.select("k1", "k2", "text").mapInArrow(find, "k1 long, k2 long, m long, s int, n int, c int"), "spans")
     # Written, so that the join has an exchange of its own, which AQE can split where a hash is hot.
     again = materialize(spans.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1").select("m"), "again")
-    wanted = spans.join(again.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n")).alias("want"))
-
-    def cut(stream) -> Iterator:
-        """The wanted regions. A region's bytes come with its first occurrence in the task, its second only says so."""
-        import pyarrow as pa
-        import xxhash
-
-        seen: dict = {}
-        names = ["k1", "k2", "m", "r1", "r2", "s", "twice", "text"]
-        kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.binary()]
-        for batch in batches(stream, 512, 4_000_000):
-            out = []
-            for k1, k2, t, want in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "want")), strict=True):
-                data = t.encode()
-                for x in want:
-                    part = data[x["s"] : x["s"] + x["n"] + length - 1]
-                    digest = xxhash.xxh3_128_intdigest(part)
-                    r1, r2 = (digest >> 64) - 2**63, (digest & MASK) - 2**63
-                    times = seen[digest] = seen.get(digest, 0) + 1
-                    out.append((k1, k2, x["m"], r1, r2, x["s"], times == 2, part if times == 1 else None))
-            if len(seen) > 500_000:
-                seen.clear()  # what is met again is sent again
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-
-    cuts = materialize(docs.join(wanted.hint("merge"), ["k1", "k2"]).mapInArrow(cut, "k1 long, k2 long, m long, r1 long, r2 long, s int, twice boolean, text binary"), "cuts")
+    wanted = spans.join(again.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n", F.lit(-1).alias("at"), F.col("m").alias("shared"))).alias("want"))
+
+    def cuts_of(wanted: DataFrame, level: int) -> DataFrame:
+        """The wanted regions, from level 1 on their parts. `at` and `shared` are what `halves` needs for more."""
+
+        def cut(stream) -> Iterator:
+            """A region's bytes come with its first occurrence in the task, its second only says so."""
+            import pyarrow as pa
+            import xxhash
+
+            seen: dict = {}
+            powers = Powers()
+            names = ["k1", "k2", "m", "r1", "r2", "s", "n", "at", "shared", "twice", "text"]
+            kinds = [pa.int64()] * 5 + [pa.int32()] * 3 + [pa.int64(), pa.bool_(), pa.binary()]
+            for batch in batches(stream, 512, 4_000_000):
+                out = []
+                for k1, k2, t, want in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "want")), strict=True):
+                    data = t.encode()
+                    for x in want:
+                        whole = data[x["s"] : x["s"] + x["n"] + length - 1]
+                        parts = halves(whole, x["m"], x["shared"], x["at"], level, length, k, powers) if level else [(x["m"], 0, x["n"], -1)]
+                        for m, s, n, at in parts:
+                            part = whole[s : s + n + length - 1]
+                            digest = xxhash.xxh3_128_intdigest(part)
+                            r1, r2 = (digest >> 64) - 2**63, (digest & MASK) - 2**63
+                            times = seen[m, digest] = seen.get((m, digest), 0) + 1
+                            out.append((k1, k2, m, r1, r2, x["s"] + s, n, at, x["shared"], times == 2, part if times == 1 else None))
+                if len(seen) > 500_000:
+                    seen.clear()  # what is met again is sent again
+                columns = list(zip(*out, strict=True)) or [[]] * 11
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+        kinds = "k1 long, k2 long, m long, r1 long, r2 long, s int, n int, at int, shared long, twice boolean, text binary"
+        return materialize(docs.join(wanted.hint("merge"), ["k1", "k2"]).mapInArrow(cut, kinds), "cuts")
+
+    cuts = cuts_of(wanted, 0)
+    for level in range(1, (length - k).bit_length() + 1):
+        # Only rows of several texts make a group hot: one text needs no splitting, however long.
+        sizes = cuts.groupBy("m", "r1", "r2").agg((F.max("n") + length).cast("long").alias("n")).groupBy("m")
+        hot = materialize(sizes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).where((F.col("n") > BLOCK) & (F.col("texts") > 1)).select("m"), "hot")
+        if hot.isEmpty():
+            break
+        split = cuts.join(hot.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n", "at", "shared")).alias("want"))
+        finer = cuts_of(split, level)
+        rest, cuts = cuts, materialize(cuts.join(hot.hint("merge"), "m", "left_anti").unionByName(finer), "cuts")
+        release(rest, finer, hot)
 
     def mark(stream) -> Iterator:
         import numpy as np

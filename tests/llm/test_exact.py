@@ -203,6 +203,53 @@ def test_run_index_marks_like_brute_force():
             assert [h.tolist() for h in runindex.by_hash(texts, n)] == want
 
 
+@pytest.mark.parametrize("block", [3000, 40_000])
+def test_hot_groups_of_bytes_go_through_the_index(spark, monkeypatch, block):
+    monkeypatch.setattr(runindex, "BLOCK", block)
+    made, write = {}, runindex.materialize
+    monkeypatch.setattr(runindex, "materialize", lambda df, name: made.setdefault(name, []).append(write(df, name)) or made[name][-1])
+    r = random.Random(9)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    hot = text(500)
+    texts = [text(r.randrange(60, 900)) + hot[: r.choice([300, 420, 500])] + text(r.randrange(60, 900)) for _ in range(60)]
+    texts += ["ab" * 900 + hot, "ab" * 700, "a" * 2500, hot + hot, hot, None, *texts[:2]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in runindex.dedup_bytes(df).collect()}
+    assert got == dict(enumerate(brute_removal(texts, 400)))
+    groups = {}
+    for x in made["cuts"][-1].where("text is not null").collect():
+        groups.setdefault(x.m, set()).add(bytes(x.text))
+    assert all(len(g) == 1 or sum(map(len, g)) <= block for g in groups.values())
+
+
+def test_a_block_goes_through_the_index_whatever_its_size(monkeypatch):
+    monkeypatch.setattr(runindex, "BLOCK", 10)
+    monkeypatch.setattr(runindex, "by_hash", None)
+    assert [h.tolist() for h in runindex.marked([b"abcdefgh", b"xxabcdexx"], 4)] == [[True, True, False, False, False], [False, False, True, True, False, False]]
+
+
+def test_halves_keep_equal_windows_together_and_end_in_single_ones():
+    r = random.Random(4)
+    length, k, powers = 40, 8, runindex.Powers()
+    shared = b"shared!!"
+    whole = [bytes(r.choice(b"ab") for _ in range(32)) + shared + bytes(r.choice(b"ab") for _ in range(32)) for _ in range(50)]
+    whole += [b"ab" * 16 + shared + b"ab" * 16] * 2
+    value = int(runindex.rolling(np.frombuffer(shared, np.uint8), k, powers).view(np.int64)[0])
+    for level in range(1, (length - k).bit_length() + 1):
+        groups = {}
+        for t in whole:
+            parts = list(runindex.halves(t, 7, value, -1, level, length, k, powers))
+            assert sum(n for _, _, n, _ in parts) == len(t) - length + 1
+            for m, s, n, _ in parts:
+                for w in range(s, s + n):
+                    groups.setdefault(t[w : w + length], set()).add(m)
+        assert all(len(x) == 1 for x in groups.values())
+    by_group = {}
+    for window, (m,) in groups.items():
+        by_group.setdefault(m, set()).add(window)
+    assert all(len(x) == 1 for x in by_group.values())
+
+
 def test_packing_keeps_its_law(docs, rows, empty):
     got = packing.pack(docs, 4).toPandas()
     assert len(got) == len(rows) and set(got.law) == {"bytes"} and got.grown_shard.isna().all()
