@@ -14,19 +14,46 @@ from millrace.streaming import events as E
 plan = Plans()
 QUERIES, ORACLES = plan.queries, plan.oracles
 
-#: Commands that the queries class: events take them in turn.
-COMMANDS = (
-    "pytest -q tests/test_a.py", "git diff > patch.txt", "cat src/a.py", "sed -i 's/a/b/' src/a.py", "echo done > patch.txt", "python3 - <<'EOF'", "git status", "submit", "python -c 'print(1)'",
-    "grep -rn foo src | head", "pip install numpy", "tail -5 patch.txt", "cargo test --all", "apply_patch < fix", "make check", "", "rm -rf build", "echo COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT", "cat > a.py", "printf 'x' > b.txt", "git diff | tee patch.txt", "whoami",
+#: Commands that events take in turn, and the classes expected of them: of the turn, the step, the audit's step, and
+#: whether they write a patch file by hand.
+EXPECTED = (
+    ("pytest -q tests/test_a.py", "test", "test", "test", False),
+    ("git diff > patch.txt", "submit", "edit", "diff_status", False),
+    ("cat src/a.py", "read", "inspect", "inspect", False),
+    ("sed -i 's/a/b/' src/a.py", "write", "edit", "edit", False),
+    ("echo done > patch.txt", "manual_patch_artifact", "edit", "other", True),
+    ("python3 - <<'EOF'", "write", "probe", "edit", False),
+    ("git status", "verify", "diff_status", "diff_status", False),
+    ("submit", "submit", "other", "other", False),
+    ("python -c 'print(1)'", "other", "probe", "edit", False),
+    ("python3 -c 'open(1).write_text(2)'", "other", "edit", "edit", False),
+    ("grep -rn foo src | head", "read", "inspect", "inspect", False),
+    ("pip install numpy", "other", "setup", "setup", False),
+    ("tail -5 patch.txt", "verify", "edit", "inspect", False),
+    ("cargo test --all", "test", "test", "test", False),
+    ("apply_patch < fix", "write", "edit", "edit", False),
+    ("make check", "test", "other", "other", False),
+    ("", "other", "no_command", "no_command", False),
+    ("rm -rf build", "write", "other", "other", False),
+    ("echo COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT", "other", "submit", "submit", False),
+    ("cat > a.py", "read", "edit", "edit", False),
+    ("printf 'x' > b.txt", "other", "edit", "edit", False),
+    ("git diff | tee patch.txt", "submit", "edit", "edit", False),
+    ("git diff | tee -a patch.txt", "verify", "edit", "edit", False),
+    ("whoami", "other", "other", "other", False),
+    ("cargogo test", "other", "other", "other", False),
+    ("ls 2> /dev/null", "write", "inspect", "inspect", False),
+    ("cat a.diff >> patch.txt", "manual_patch_artifact", "edit", "inspect", True),
+    ("patch -p1 < x.diff", "other", "edit", "other", False),
+    ("node - <<X", "write", "probe", "other", False),
+    ("go mod tidy", "other", "setup", "setup", False),
+    ("sed -n '1,5p' a.c", "read", "inspect", "inspect", False),
 )
-LITERAL = "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in COMMANDS) + "]"
+COMMANDS = tuple(x[0] for x in EXPECTED)
+EXPECTED_SQL = ", ".join("(" + ", ".join([str(i), *("'" + x.replace("'", "''") + "'" for x in row[1:4]), str(row[4]).lower()]) + ")" for i, row in enumerate(EXPECTED))
 
 
-@plan(f"""WITH c AS (SELECT event_id, ({LITERAL})[event_id % {len(COMMANDS)} + 1] AS cmd FROM events)
-  SELECT event_id, CASE WHEN cmd = '' THEN 'other' ELSE {commands.rules_sql("lower(cmd)", commands.TURN_RULES, "other")} END AS turn,
-  CASE WHEN trim(cmd) = '' THEN 'no_command' ELSE {commands.rules_sql("lower(trim(cmd))", commands.STEP_RULES, "other")} END AS step,
-  CASE WHEN trim(cmd) = '' THEN 'no_command' ELSE {commands.rules_sql("lower(trim(cmd))", commands.AUDIT_RULES, "other")} END AS audit,
-  contains(lower(cmd), 'patch.txt') AND regexp_matches(lower(cmd), '{commands.PATCH_BY_HAND}') AS by_hand FROM c""")
+@plan(f"""SELECT event_id, e.turn, e.step, e.audit, e.by_hand FROM events JOIN (VALUES {EXPECTED_SQL}) e(k, turn, step, audit, by_hand) ON event_id % {len(COMMANDS)} = k""")
 def command_classes(spark: SparkSession, d: str) -> DataFrame:
     cmd = F.element_at(F.array(*map(F.lit, COMMANDS)), (F.col("event_id") % len(COMMANDS) + 1).cast("int"))
     rows = T(spark, d, "events").select("event_id", cmd.alias("cmd"))

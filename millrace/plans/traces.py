@@ -15,9 +15,25 @@ plan = Plans()
 QUERIES, ORACLES = plan.queries, plan.oracles
 
 CALL = "struct<function:struct<name:string,arguments:string>>"
-#: Assistant turns run these commands in turn.
-COMMANDS = ("cat a.py", "pytest -q", "sed -i s/a/b/ a.py", "git diff > patch.txt", "git status", "submit", "")
+#: Assistant turns run these commands in turn; beside each what is expected of it: action, whether it submits, writes
+#: the patch file by hand, prepares it, writes it.
+EXPECTED = (
+    ("cat a.py", "read", False, False, False, False),
+    ("git diff > patch.txt", "submit", False, False, False, True),
+    ("cat patch.txt", "verify", False, False, True, False),
+    ("echo COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT && cat patch.txt", "verify", True, False, False, False),
+    ("pytest -q", "test", False, False, False, False),
+    ("sed -i s/a/b/ a.py", "write", False, False, False, False),
+    ("git diff | tee patch.txt", "submit", False, False, True, True),
+    ("git status", "verify", False, False, False, False),
+    ("", "other", False, False, False, False),
+    ("echo x > patch.txt", "manual_patch_artifact", False, True, False, True),
+    ("submit", "submit", False, False, False, False),
+)
+COMMANDS = tuple(x[0] for x in EXPECTED)
 COMMANDS_SQL = "[" + ", ".join(f"'{c}'" for c in COMMANDS) + "]"
+EXPECTED_SQL = "e(k, cmd, action, submits, by_hand, prepares, writes) AS (VALUES " + ", ".join(f"({i}, '{c}', '{a}', {', '.join(str(x).lower() for x in flags)})" for i, (c, a, *flags) in enumerate(EXPECTED)) + ")"
+SHOWN = "<output>\ndiff --git a/x b/x\n--- a/x\n+++ b/x\n</output>"
 
 
 def traces(spark: SparkSession, d: str, commands: bool = False) -> DataFrame:
@@ -70,17 +86,39 @@ def failed_turn_masks(spark, d):
     return rows.select("conv_id", F.size(F.filter(M.mask_failed_turns(F.col("messages")), lambda m: m["loss"] == F.lit(False))).cast("long").alias("n_masked"))
 
 
-@plan(f"""WITH {TURNS}, c AS (SELECT *, CASE WHEN role = 'assistant' THEN ({COMMANDS_SQL})[(conv_id + turn) % {len(COMMANDS)} + 1] END AS cmd FROM t),
-  s AS (SELECT *, coalesce(sum((cmd IN ('submit', 'git diff > patch.txt'))::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 AS after FROM c)
-  SELECT conv_id, turn, after AS masked, (CASE cmd WHEN 'cat a.py' THEN 0.5 WHEN 'git status' THEN 1.5 WHEN 'submit' THEN 2.0 WHEN 'git diff > patch.txt' THEN 2.0 ELSE 1.0 END * CASE WHEN conv_id % 2 = 0 THEN 1.0 ELSE 0.5 END)::DOUBLE AS weight
-  FROM s WHERE role = 'assistant'""")
+@plan(f"""WITH {TURNS}, {EXPECTED_SQL}, c AS (SELECT t.*, e.action FROM t JOIN e ON e.k = (conv_id + turn) % {len(COMMANDS)} WHERE role = 'assistant'),
+  s AS (SELECT c.*, (SELECT count(*) FROM c b WHERE b.conv_id = c.conv_id AND b.turn < c.turn AND (b.conv_id + b.turn) % {len(COMMANDS)} = 3) > 0 AS after FROM c)
+  SELECT conv_id, turn, after AS masked, (CASE action WHEN 'read' THEN 0.5 WHEN 'verify' THEN 1.5 WHEN 'submit' THEN 2.0 ELSE 1.0 END * CASE WHEN conv_id % 2 = 0 THEN 1.0 ELSE 0.5 END)::DOUBLE AS weight FROM s""")
 def loss_weights(spark, d):
     """Turns after a submit are masked; weights by action, halved for traces that did not pass."""
-    rows = traces(spark, d, commands=True)
+    out = stateful.loss_policy(traces(spark, d, commands=True), "conv_id", passed=F.col("conv_id") % 2 == 0, weights=stateful.WEIGHTS, nonpassing_factor=0.5)
+    return _turns(spark, d, out).select("conv_id", F.col("z.turns").alias("turn"), (~F.coalesce("z.messages.loss", F.lit(True))).alias("masked"), F.col("z.messages.loss_weight").alias("weight"))
+
+
+def _turns(spark, d, out):
+    """Assistant turns z of traces, with their numbers in the table."""
     t = T(spark, d, "conversations").where(M.normalize_role(F.col("role")).isNotNull()).groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    out = stateful.loss_policy(rows, "conv_id", passed=F.col("conv_id") % 2 == 0, weights=stateful.WEIGHTS, nonpassing_factor=0.5)
-    out = out.join(t, "conv_id").select("conv_id", F.explode(F.arrays_zip("messages", "turns")).alias("z")).where("z.messages.role = 'assistant'")
-    return out.select("conv_id", F.col("z.turns").alias("turn"), (~F.coalesce("z.messages.loss", F.lit(True))).alias("masked"), F.col("z.messages.loss_weight").alias("weight"))
+    return out.join(t, "conv_id").select("conv_id", F.explode(F.arrays_zip("messages", "turns")).alias("z")).where("z.messages.role = 'assistant'")
+
+
+@plan(f"""WITH {TURNS}, {EXPECTED_SQL},
+  c AS (SELECT t.conv_id, t.turn, t.role, coalesce(e.cmd, '') AS cmd, coalesce(e.action, '') AS action, coalesce(e.submits, false) AS submits, coalesce(e.by_hand, false) AS by_hand, coalesce(e.prepares, false) AS prepares, coalesce(e.writes, false) AS writes,
+    t.role = 'tool' AND length(t.text) % 2 = 0 AS shows, t.role = 'tool' AND length(t.text) % 5 = 0 AS fails FROM t LEFT JOIN e ON t.role = 'assistant' AND e.k = (t.conv_id + t.turn) % {len(COMMANDS)}),
+  w AS (SELECT *, max(CASE WHEN cmd <> '' THEN turn END) OVER b AS last_act, max(CASE WHEN shows THEN turn END) OVER b AS last_shown, max(CASE WHEN writes THEN turn END) OVER b AS last_write,
+    coalesce(bool_or(submits) OVER b, false) AS submitted, coalesce(bool_or(by_hand) OVER b, false) AS spoiled, max(CASE WHEN role = 'assistant' THEN turn END) OVER b AS spoke, max(CASE WHEN fails THEN turn END) OVER b AS failed
+    FROM c WINDOW b AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  s AS (SELECT *, max(CASE WHEN role = 'assistant' AND last_shown > last_act THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS looked FROM w),
+  j AS (SELECT s.*, coalesce(a.prepares, false) AS prepared, coalesce(m.by_hand, false) AS tainted FROM s LEFT JOIN c a ON a.conv_id = s.conv_id AND a.turn = s.last_act LEFT JOIN c m ON m.conv_id = s.conv_id AND m.turn = s.last_write WHERE s.role = 'assistant')
+  SELECT conv_id, turn, submitted OR (conv_id % 4 <> 0 AND (by_hand OR spoiled)) OR (submits AND NOT (prepared AND coalesce(looked > coalesce(last_write, -1), false) AND NOT tainted))
+    OR (submits AND conv_id % 3 = 0) OR (action = 'submit' AND conv_id % 5 = 0) OR (action = 'submit' AND conv_id % 7 = 0) OR coalesce(failed > coalesce(spoke, -1), false) AS masked FROM j""")
+def loss_masks(spark, d):
+    """Every mask of the loss policy over the expected commands; a tool turn's length says whether it shows a diff or an error."""
+    n = lambda m, k: F.length(m["content"]) % k == 0
+    told = lambda m: F.concat(F.when(n(m, 2), SHOWN).otherwise("<output>\nok\n</output>"), F.when(n(m, 5), "Tool call error").otherwise(""))
+    rows = traces(spark, d, commands=True).withColumn("messages", F.transform("messages", lambda m: m.withField("content", F.when(m["role"] == "tool", told(m)).otherwise(m["content"]))))
+    c = F.col("conv_id")
+    out = stateful.loss_policy(rows, "conv_id", passed=c % 5 != 0, empty_patch=c % 7 == 0, nonpassing=c % 3 == 0, allow_manual_patch=c % 4 == 0, mask_error_recovery=True, reject_manual_patch=True, reject_unverified_submit=True, reject_nonpassing_submit=True, mask_nonpassing_submit=True, mask_empty_submit=True)
+    return _turns(spark, d, out).select("conv_id", F.col("z.turns").alias("turn"), (~F.coalesce("z.messages.loss", F.lit(True))).alias("masked"))
 
 
 @plan(f"""WITH RECURSIVE {TURNS}, n AS (SELECT conv_id, conv_id % 8 AS shard, sum(length(text))::BIGINT AS n FROM t GROUP BY 1), o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY conv_id) AS i FROM n),

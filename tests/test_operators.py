@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions import commands
 from millrace.operators import dedup, joins, ranking, stateful, stats
 from millrace.sources import readers, writers
 
@@ -80,16 +81,79 @@ def losses(spark, turns, **flags):
     return [m.loss for m in stateful.loss_policy(df, **flags).first().messages if m.role == "assistant"]
 
 
+MARKER = "echo COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT && cat patch.txt"
+DIFF = "diff --git a/x b/x\n--- a/x\n+++ b/x\n@@ -1 +1 @@\n-a\n+b"
+
+
 def test_loss_policy_states(spark):
-    assert losses(spark, [("assistant", "", "ls"), ("assistant", "", "submit"), ("assistant", "", "ls")]) == [None, None, False]
-    turns = [("assistant", "", "git diff > patch.txt"), ("tool", "done", None), ("assistant", "", "submit")]
+    # only the marker ends a task, and without flags nothing changes
+    assert losses(spark, [("assistant", "", "ls"), ("assistant", "", MARKER), ("assistant", "", "ls")], need_calls=True) == [None, None, False]
+    assert losses(spark, [("assistant", "", MARKER), ("assistant", "", "ls")]) == [None, None]
+    assert losses(spark, [("assistant", "", "submit"), ("assistant", "", "ls")], need_calls=True) == [None, None]
     assert losses(spark, [("assistant", "x", None), ("assistant", "x", "ls")], need_calls=True) == [False, None]
     assert losses(spark, [("assistant", "<think>r</think>", "ls"), ("assistant", "x", "ls")], need_reasoning=True) == [None, False]
     assert losses(spark, [("tool", "Tool call error", None), ("assistant", "", "ls"), ("assistant", "", "ls")], mask_error_recovery=True) == [False, None]
     assert losses(spark, [("assistant", "", "echo x > patch.txt"), ("assistant", "", "ls")], reject_manual_patch=True) == [False, False]
-    shown = [("assistant", "", "cat patch.txt"), ("tool", "<output>\ndiff --git a/x b/x\n</output>", None), ("assistant", "", "submit")]
-    assert losses(spark, shown, reject_unverified_submit=True)[-1] is None
-    assert losses(spark, turns[1:], reject_unverified_submit=True) == [False]
+    assert losses(spark, [("assistant", "", "echo x > patch.txt"), ("assistant", "", "ls")], reject_manual_patch=True, allow_manual_patch=F.lit(True)) == [None, None]
+
+
+def test_loss_policy_verified_submits(spark):
+    made = [("assistant", "", "git diff > patch.txt"), ("tool", "done", None)]
+    shown = [("assistant", "", "cat patch.txt"), ("tool", f"<returncode>0</returncode>\n<output>\n{DIFF}\n</output>", None)]
+    submit, flags = [("assistant", "", MARKER)], {"reject_unverified_submit": True, "reject_manual_patch": True}
+    assert losses(spark, made + shown + submit, **flags) == [None, None, None]
+    assert losses(spark, made + submit, **flags) == [None, False]  # nobody looked
+    assert losses(spark, made + shown + made + submit, **flags) == [None, None, None, False]  # written again since
+    assert losses(spark, made + [shown[0], ("tool", "no diff", None)] + submit, **flags) == [None, None, False]
+    hand = [("assistant", "", "cat > patch.txt <<'E'\ndiff --git a/x b/x\nE")]
+    assert losses(spark, hand + shown + submit, reject_unverified_submit=True) == [None, None, False]
+    assert losses(spark, made + shown + submit, reject_nonpassing_submit=True, nonpassing=F.lit(True)) == [None, None, False]
+    split = [shown[0], ("tool", "diff --git a/x b/x", None), ("tool", "--- a/x\n+++ b/x", None)]
+    assert losses(spark, made + split + submit, **flags) == [None, None, None]
+
+
+def test_loss_policy_weights_and_content(spark):
+    turns = [("user", "q", None), ("assistant", "<think>look</think>so", "cat patch.txt"), ("tool", DIFF, None), ("assistant", "<think>done</think>", "submit")]
+    rows = spark.createDataFrame([("a", trace(*turns)), ("b", [])], SCHEMA)
+    out = {r.uuid: r.messages for r in stateful.loss_policy(rows, passed=F.lit(False), weights=stateful.WEIGHTS, nonpassing_factor=0.75, mask_empty_submit=True, empty_patch=F.lit(True), drop_content=True).collect()}
+    assert [(m.loss, m.loss_weight, m.content, m.reasoning_content) for m in out["a"] if m.role == "assistant"] == [(None, 1.125, "", "look"), (False, 1.5, "", "done")]
+    assert out["b"] == []
+
+
+def test_example_outcomes(spark):
+    def outcome(x):
+        cols = stateful.example_outcome(F.lit(json.dumps(x)))
+        return tuple(spark.range(1).select(*(c.alias(n) for n, c in cols.items())).first())
+
+    assert outcome({"passed": True, "source_outcome": {"model_patch_bytes": 128}}) == (True, False, False, False)
+    assert outcome({"source_outcome": {"passed": False, "model_patch_bytes": 0}}) == (False, True, False, False)
+    assert outcome({"metadata": {"passed": "no", "empty_patch": True, "allow_manual_patch_context": True}}) == (True, True, True, True)
+    assert outcome({"model_patch": ""}) == (False, True, False, False) and outcome({}) == (False, False, False, False)
+    assert outcome({"metadata": {"source_outcome": {"passed": "pass"}, "passed": False, "source": "current_empty_diff_recovery"}}) == (False, False, False, True)
+
+
+def test_where_a_patch_file_comes_from(spark):
+    cases = {
+        "git diff > patch.txt": (False, False, True),
+        "git diff | tee patch.txt": (False, True, True),
+        "git diff > a.diff && cat a.diff > patch.txt": (False, True, True),
+        "git diff > a.diff; cp a.diff patch.txt": (False, False, False),
+        "cp other.diff patch.txt": (True, False, False),
+        "cat > /tmp/patch.txt <<'EOF'\ndiff --git a/x b/x\nEOF": (True, True, True),
+        "echo x >> patch.txt": (True, False, True),
+        "git diff >> patch.txt": (False, False, True),
+        "touch patch.txt": (True, False, False),
+        ": > patch.txt": (True, False, True),
+        "cp /dev/null ./patch.txt": (True, False, False),
+        "diff -u /dev/null new.py > patch.txt": (True, False, True),
+        "python3 -c \"open('patch.txt','w').write('x')\"": (True, False, True),
+        "head -3 patch.txt": (False, True, False),
+        "ls && cat my-patch.txt": (False, False, False),
+        MARKER: (False, False, False),
+        "": (False, False, False),
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, c string").select("i", commands.patch_facts(F.col("c")).alias("f")).orderBy("i").collect()
+    assert {c: tuple(r.f) for c, r in zip(cases, rows, strict=True)} == cases
 
 
 def test_tokenizer_spans(spark):
@@ -97,6 +161,11 @@ def test_tokenizer_spans(spark):
     row = stateful.tokenize_chat(df, stateful.characters).first()
     assert "".join(chr(x) for x in row.labels if x != -100) == "yes<|im_end|>\n"
     assert stateful.tokenize_chat(df, stateful.characters, most=5).count() == 0
+    plain = stateful.tokenize_chat(df, lambda text: [ord(c) for c in text]).first()
+    assert plain.labels == row.labels and row.position_ids == list(range(len(row.input_ids))) and set(row.attention_mask) == {1}
+    calls = spark.createDataFrame([("a", trace(("user", "q", None), ("assistant", "why", "ls")))], SCHEMA)
+    label = lambda target: "".join(chr(x) for x in stateful.tokenize_chat(calls, stateful.characters, target=target).first().labels if x != -100)
+    assert label("tool_calls") == '<tool_call>\n{"name": "bash", "arguments": {"command": "ls"}}\n</tool_call><|im_end|>\n' and label("assistant") == "why\n" + label("tool_calls")
     parts = stateful.tokenize_chat(df, stateful.characters, most=20, overlong="split", least_labels=0).collect()
     assert len(parts) > 1 and sum(len(p.input_ids) for p in parts) == len(row.input_ids)
 
