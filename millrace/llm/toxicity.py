@@ -1,11 +1,12 @@
 """Toxicity by weak supervision: many weak voters, a generative label model, a linear classifier on its posterior.
 
 Voters are fixed lexicons, fixed patterns, and lexicons mined from the labelled rows; each votes toxic, clean
-or not at all. The label model is learned by expectation maximisation: it estimates, for the hidden label,
-each voter's chance of each vote (its accuracy), and from the votes' covariance given that label which voters
-repeat one another, so that correlated voters share one weight. Known labels enter as a further voter whose
-accuracy is estimated like the rest. A logistic regression over words and word beginnings is then fitted to
-the posterior and scores every whole text.
+or not at all, on labelled and unlabelled documents alike. The label model is learned by expectation
+maximisation: it estimates, for the hidden label, each voter's chance of each vote (its accuracy), and from the
+votes' covariance given that label which voters repeat one another, so that correlated voters share one weight.
+Known labels are one more voter, silent where there is none; its accuracy is estimated like the rest, from a
+prior belief of TRUST rows. A logistic regression over words and word beginnings is then fitted to the posterior
+of all sampled documents and scores every whole text.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ PATTERNS = (
 WORDS = re.compile(r"\w+")
 #: The classifier also counts a text's distinct words of the first lexicons; the later ones hold words of other languages.
 COUNTED = frozenset(w for lex in LEXICONS[:3] for w in lex)
-#: Labelled rows used to fit the models, at most; taken in the order of a hash of their id.
-SAMPLE = 8_000
+#: Labelled rows, and documents without a label, used to fit the models, at most; taken in the order of a hash of their id.
+SAMPLE, UNLABELLED = 5_000, 3_000
+#: Rows' worth of belief that a known label is right 19 times in 20, before any row is seen.
+TRUST = 400
 #: Word beginnings of these lengths are features beside whole words.
 PREFIXES = (4, 5, 6, 7)
 #: Features of the classifier, at most, and the least number of training rows that hold one.
@@ -51,8 +54,8 @@ FOLDS = 5
 def label_model(votes, known=None, rounds: int = 60):
     """(posterior of the toxic class, accuracy table, voter weights) from an (items x voters) array of -1, 0, 1.
 
-    0 is no vote. Starts from the votes' majority, or near the votes of the voter at index `known`, who is never
-    taken for an echo of the others and is believed right 19 times in 20 before any item is seen.
+    0 is no vote. Starts from the votes' majority, or near the votes of the voter at index `known` where it has
+    one; that voter is never taken for an echo of the others and starts from a belief of TRUST rows.
     """
     import numpy as np
 
@@ -68,8 +71,10 @@ def label_model(votes, known=None, rounds: int = 60):
     q = (for_ + 0.02) / (for_ + against + 0.1)
     belief = np.full((2, m, 3), 0.5)
     if known is not None:
-        q = np.where(votes[:, known] > 0, 0.95, 0.05)
-        belief[0, known], belief[1, known] = np.array([0.95, 0.0, 0.05]) * n + 0.5, np.array([0.05, 0.0, 0.95]) * n + 0.5
+        told = votes[:, known] != 0
+        q = np.where(told, np.where(votes[:, known] > 0, 0.95, 0.05), q)
+        share = max(float(told.mean()), 1e-3)  # how often it votes says nothing about the class
+        belief[0, known], belief[1, known] = (np.array([a * share, 1 - share, b * share]) * TRUST + 0.5 for a, b in ((0.95, 0.05), (0.05, 0.95)))
         weight[known] = 1.0
     for step in range(rounds):
         prior = np.clip(q.mean(), 1e-3, 0.5)
@@ -146,17 +151,18 @@ def traits(bags: list) -> Iterator[tuple[str, list, object, object, object]]:
 
 
 def fit(sample: list) -> tuple[dict, float]:
-    """({feature: weight}, bias) from rows (distinct words, pattern hits, label 0 or 1)."""
+    """({feature: weight}, bias) from rows (distinct words, pattern hits, label 0, 1 or None)."""
     import numpy as np
 
     bags = [words for words, _, _ in sample]
-    labels = np.array([y for _, _, y in sample], float)
-    n, n1 = len(sample), labels.sum()
+    told = np.array([y is not None for _, _, y in sample], float)
+    labels = np.array([y or 0 for _, _, y in sample], float)
+    n, n1, n0 = len(sample), labels.sum(), told.sum() - labels.sum()
     found, cells = [], []
     for mark, names, text, feature, count in traits(bags):
         c1 = np.bincount(feature, weights=labels[text], minlength=len(names))
-        c0 = np.bincount(feature, minlength=len(names)) - c1
-        odds = np.log((c1 + 0.3) / (n1 - c1 + 0.6)) - np.log((c0 + 0.3) / (n - n1 - c0 + 0.6))
+        c0 = np.bincount(feature, weights=told[text], minlength=len(names)) - c1
+        odds = np.log((c1 + 0.3) / (n1 - c1 + 0.6)) - np.log((c0 + 0.3) / (n0 - c0 + 0.6))
         gain = np.where(c0 + c1 >= SUPPORT, np.abs(odds) * np.sqrt(c1 + 0.02 * c0), 0)
         top = np.argsort(-gain, kind="stable")[:FEATURES]
         top = top[gain[top] > 0]
@@ -177,7 +183,7 @@ def fit(sample: list) -> tuple[dict, float]:
     lexical = np.array(columns).T.reshape(n, -1)
     shown = np.array([[int(h > 0) for h in hits] for _, hits, _ in sample]).reshape(n, -1)
     none, two = np.where(lexical.sum(1) == 0, -1, 0), np.where(lexical.sum(1) >= 2, 1, 0)
-    votes = np.column_stack([lexical, shown, none, two, np.where(labels > 0.5, 1, -1)])
+    votes = np.column_stack([lexical, shown, none, two, np.where(told > 0, np.where(labels > 0.5, 1, -1), 0)])
     target, _, _ = label_model(votes, known=votes.shape[1] - 1)
     at = np.full(len(found) + 1, -1)
     at[chosen] = np.arange(len(chosen))
@@ -191,10 +197,17 @@ def fallback() -> tuple[dict, float]:
     return {"=" + w: 2.0 for lex in LEXICONS for w in lex}, -3.0
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> tuple[dict, float]:
-    """Fit on at most `sample` labelled rows outside the held-out fold; only their distinct words reach the driver."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.avg(F.col("toxic").cast("double")).alias("y"))
-    known = known.orderBy(F.xxhash64(key), key).limit(sample)
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> tuple[dict, float]:
+    """Fit on at most `sample` labelled rows outside the held-out fold, and as many documents without a label, but
+    `unlabelled` of these at most: more than that would let the voters drown the labels.
+
+    Runs jobs when called. Only the sampled documents' distinct words reach the driver. A document of the held-out
+    fold is never sampled, labelled or not.
+    """
+    given = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias(key)).agg(F.avg(F.col("toxic").cast("double")).alias("y"))
+    known = given.where(~held_out(key)).orderBy(F.xxhash64(key), key).limit(sample)
+    free = docs.select(F.col(key).cast("long").alias(key)).where(F.col(key).isNotNull()).where(~held_out(key)).distinct().join(given.select(key), key, "left_anti")
+    free = free.orderBy(F.xxhash64(key), key).limit(min(unlabelled, known.count())).withColumn("y", F.lit(None).cast("double"))
 
     def run(stream) -> Iterator:
         import pyarrow as pa
@@ -206,12 +219,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             hits = [[sum(1 for _ in p.finditer(t)) for p in patterns] for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(words), pa.array(hits, pa.list_(pa.int32())), batch.column("y")], [key, "words", "hits", "y"])
 
-    rows = docs.select(F.col(key), F.col(text).cast("string").alias(text)).join(F.broadcast(known), key).mapInArrow(run, f"{key} long, words string, hits array<int>, y double")
-    rows = sorted({(x[key], x["words"], tuple(x["hits"]), int(x["y"] >= 0.5)) for x in rows.collect()})
-    if len({y for *_, y in rows}) < 2:
+    rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).join(F.broadcast(known.unionByName(free)), key).mapInArrow(run, f"{key} long, words string, hits array<int>, y double")
+    rows = sorted({(x[key], x["words"], tuple(x["hits"]), -1 if x["y"] is None else int(x["y"] >= 0.5)) for x in rows.collect()})
+    if len({y for *_, y in rows} - {-1}) < 2:
         return fallback()
     one: dict = {}  # each distinct word is held once
-    return fit([([one.setdefault(w, w) for w in words.split()], hits, y) for _, words, hits, y in rows])
+    return fit([([one.setdefault(w, w) for w in words.split()], hits, None if y < 0 else y) for _, words, hits, y in rows])
 
 
 def held_out(key: str = "doc_id"):
@@ -256,6 +269,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     1 where score >= 0.5. A null key is not held out; null and empty texts get the score of an empty text;
     several labels for one key count by their mean (a tie is toxic); without both classes among the labels a
     fixed classifier over the lexicons takes over; repeated rows score alike and an empty table gives no rows.
+    Training runs Spark jobs when this is called. A text's distinct words are all that a score needs, so a long
+    text costs memory for these alone.
     """
     weights, bias = train(docs, labels, key, text)
     out = score(docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)), weights, bias, text)

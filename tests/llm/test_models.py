@@ -39,6 +39,21 @@ def test_label_model_finds_accuracies_and_echoes():
     assert table[1, 0, 2] > 0.85 and weight[3] < weight[0]
 
 
+def test_unlabelled_documents_are_voted_on():
+    r = np.random.default_rng(4)
+    y = r.random(3000) < 0.2
+    right = lambda p: np.where(r.random(3000) < p, np.where(y, 1, -1), np.where(y, -1, 1))
+    gold = np.where(np.arange(3000) < 600, np.where(y, 1, -1), 0)
+    votes = np.column_stack([right(0.9), right(0.85), right(0.8), gold])
+    q, table, _ = toxicity.label_model(votes, known=3)
+    silent = gold == 0
+    assert ((q > 0.5) == y)[silent].mean() > 0.9 and table[1, 3, 2] / (table[1, 3, 0] + table[1, 3, 2]) > 0.9
+    wrong = gold.copy()
+    wrong[:600] *= np.where(r.random(600) < 0.3, -1, 1)  # labels that err are not believed as before
+    _, table2, _ = toxicity.label_model(np.column_stack([votes[:, :3], wrong]), known=3)
+    assert table2[1, 3, 2] / (table2[1, 3, 0] + table2[1, 3, 2]) < table[1, 3, 2] / (table[1, 3, 0] + table[1, 3, 2])
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
@@ -52,6 +67,8 @@ def test_toxicity_edge_cases(spark):
     assert len(got) == 5 and {r.predicted for r in got if r.doc_id == 3} == {1} and {r.predicted for r in got if r.doc_id != 3} == {0}
     assert {r.score for r in got if r.doc_id in (1, 2)} == {[r.score for r in got if r.doc_id == 2][0]}
     assert toxicity.toxicity(docs.where("false"), none).count() == 0
+    long = spark.createDataFrame([(1, "calm words " * 500_000), (2, "idiot moron " * 300_000)], "doc_id long, text string")
+    assert {r.doc_id: r.predicted for r in toxicity.toxicity(long, none).collect()} == {1: 0, 2: 1}
 
 
 def brute_align(a, b):
