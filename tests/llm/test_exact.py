@@ -391,9 +391,52 @@ def test_personal_data(spark, empty):
         assert set(filter(None, base.split(","))) <= set(got[i].spans.split(","))
     assert (got[0].n_email, got[0].n_phone, got[1].n_card, got[1].n_ip) == (1, 1, 1, 1)
     assert "secret:" in got[2].spans and got[3].spans == "" and got[4].spans == ""
+    assert (got[2].n_secret, got[2].n_spans, got[2].has_personal, got[3].has_personal) == (1, 1, True, False)
     assert pii.personal_data(empty).count() == 0
 
 
+def test_proposals_have_no_length_bound():
+    def secrets(t):
+        return [t[a:b] for k, a, b in pii.proposals(t) if k == 4]
+
+    assert "sk-" + "aB3" * 200 in secrets("x sk-" + "aB3" * 200 + " y")
+    assert "0f" * 300 in secrets("x " + "0f" * 300 + " y")
+    assert "p1" * 400 in secrets('password = "' + "p1" * 400 + '" z')
+    assert "eyJhbGci.eyJzdWIi.c2ln" in secrets("Bearer eyJhbGci.eyJzdWIi.c2ln")
+    key = "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----"
+    assert key in secrets("a " + key + " b") and "-----BEGIN PRIVATE KEY-----" in secrets("-----BEGIN PRIVATE KEY----- cut")
+    spoken = "m" * 300 + " (at) host (dot) org"
+    assert [spoken[a:b] for k, a, b in pii.proposals(spoken) if k == 0] == [spoken]
+    assert [x for x in pii.proposals("x" * 500 + " (at) host dot") if x[0] == 0] == []
+
+
+def test_selection_equals_the_plain_greedy_choice(monkeypatch):
+    r = random.Random(7)
+    trees = type("T", (), {"score": lambda self, x: np.array([(v[1] * 37 % 11) / 11 for v in x])})()
+    monkeypatch.setattr(pii, "features", lambda t, k, a, b: [k, a * 3 + b])
+    for _ in range(300):
+        starts = [r.randrange(60) for _ in range(r.randrange(25))]
+        spans = sorted({(r.randrange(5), a, a + r.randrange(1, 9)) for a in starts})
+        base = [(0, 10, 14), (1, 12, 20), (2, 40, 44)] if r.random() < 0.5 else []
+        monkeypatch.setattr(pii, "proposals", lambda t, s=spans: s)
+        monkeypatch.setattr(pii, "base_spans", lambda t, b=base: list(b))
+        taken = list(base)
+        extra = [c for c in spans if not any(a < c[2] and c[1] < b for _, a, b in base)]
+        scores = trees.score([[k, a * 3 + b] for k, a, b in extra])
+        for s, c in sorted(zip(scores, extra, strict=True), key=lambda z: (-z[0], z[1])):
+            if s >= 0.5 and not any(a < c[2] and c[1] < b for _, a, b in taken):
+                taken.append(c)
+        assert pii.select("x", trees, [0.5] * 5)[1] == (sorted(taken) if extra else base)
+
+
+def test_planted_data_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    trees, limits = pii.train(docs)
+    texts = [r.text or "" for r in docs.collect()]
+    for kind, (n, found, alike, wrong) in pii.measure(texts, trees, limits).items():
+        assert found >= 0.9 * n and wrong <= 0.05 * alike, kind
+
+
 def test_trees_learn_an_interaction():
     x = np.random.default_rng(0).random((3000, 5))
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
