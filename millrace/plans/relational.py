@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import dedup, gates, joins, ranking, stats
 from millrace.plans.registering import Plans
+from millrace.session import shared_folder
 from millrace.session import table as T
 
 plan = Plans()
@@ -374,12 +375,10 @@ def next_shard_name(spark, d):
 
 
 def _shared(spark: SparkSession) -> str:
-    """A folder of the query's own in the shared place the cluster names; a temporary one where it names none."""
-    import tempfile
+    """A folder of the query's own in the shared place the cluster names."""
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return f"{base}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 @plan(None)

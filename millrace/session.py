@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: What the engine's results depend on; partition counts are left to the cluster and to AQE.
@@ -26,3 +28,19 @@ def build_session(master: str | None = None, app: str = "millrace", **extra: str
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; the path may belong to any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    Where it is unset a local session gets a temporary one; a cluster gets an error, as its machines would each
+    write to their own disk.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
