@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import table
+from millrace.session import shared_folder, table
 
-__all__ = ["batches", "components", "materialize", "release", "shared_folder", "table", "whole_text"]
+__all__ = ["batches", "components", "fresh", "materialize", "release", "shared_folder", "table", "whole_text"]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it a column that df does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def whole_text(name: str = "text") -> Column:
@@ -18,15 +28,6 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the cluster names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once to the shared folder and read back: lineage ends there and executors may be lost."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize
+from millrace.llm.common import fresh, materialize, release
 
 #: A chunk ends after a line whose rolling hash is a multiple of the divisor.
 DIVISORS = (2, 4, 8)
@@ -65,7 +65,8 @@ def _long_runs(spans: str, lines: Column, least_chars: int) -> Column:
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", divisors: tuple = DIVISORS, least_chars: int = LEAST_CHARS, runs: bool = False) -> DataFrame:
-    """docs with text replaced, plus _n_lines and _n_removed.
+    """docs with text replaced, plus _n_lines and _n_removed; where docs has such columns, these stay and the new
+    ones get further underscores (`fresh` tells the names). Other columns never matter, whatever their names.
 
     Of every multi-line chunk that occurs more than once, in one document or several, the occurrence with the
     least (key, line) stays and the lines of all others go. Lines are parted by line feeds; what remains is
@@ -73,6 +74,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", diviso
     lose; rows with a null key are left as they are and seen by no other; rows with one key and one text
     count as one occurrence and are cut alike, rows with one key and other texts as documents of their own.
 
+    Runs Spark jobs when called: chunks that repeat are found in steps, each a table in the shared folder.
+
     runs: a run of lines also goes if every two neighbouring lines of it occur earlier and it has least_chars
     characters or more. Of every line that goes an earlier one with the same text stays.
     """
@@ -95,17 +98,20 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", diviso
     first = materialize(first, "first")  # else the join below would reuse the aggregate's exchange, which cannot be split
     gone = held.join(first.hint("merge"), "x").where(F.struct("_k", "_v", "s") != F.col("first")).groupBy("_k", "_v").agg(F.collect_set(F.struct("s", "n")).alias("_gone"))
     gone = materialize(gone, "gone")
-    out = docs.withColumns(dict(zip(("_k", "_v"), (c for c in (F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))), strict=True))).join(gone.hint("merge"), ["_k", "_v"], "left")
+    release(marks, held, first)
+    k, v, cut, n_lines, n_removed = fresh(docs, "_k", "_v", "_gone", "_n_lines", "_n_removed")
+    gone = gone.withColumnsRenamed({"_k": k, "_v": v, "_gone": cut})
+    out = docs.withColumns({k: ident[0], v: ident[1]}).join(gone.hint("merge"), [k, v], "left")
     lines = F.split(text, "\n")
     if runs:
-        out = out.withColumn("_gone", _long_runs("_gone", lines, least_chars))
-    kept = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (i >= g["s"]) & (i < g["s"] + g["n"])))
-    out = out.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
-    count = F.coalesce(F.size(lines), F.lit(0))
-    n = F.when(F.col(text).isNull(), 0).otherwise(count)
-    out = out.withColumn("_n_lines", n).withColumn("_n_removed", F.when(F.col("_kept").isNull(), 0).otherwise(n - F.size("_kept")))
-    new = F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n"))
-    return out.withColumn(text, new).drop("_k", "_v", "_gone", "_kept")
+        out = out.withColumn(cut, _long_runs(cut, lines, least_chars))
+    n = F.when(F.col(text).isNull(), 0).otherwise(F.coalesce(F.size(lines), F.lit(0)))
+    # Places that stay, by a set difference: linear in the lines, however many spans go.
+    lost = F.flatten(F.transform(cut, lambda g: F.sequence(g["s"], g["s"] + g["n"] - 1)))
+    stay = F.when(F.col(cut).isNotNull(), F.array_except(F.sequence(F.lit(0), n - 1), lost))
+    out = out.withColumn(n_lines, n).withColumn(cut, stay).withColumn(n_removed, F.when(F.col(cut).isNull(), 0).otherwise(n - F.size(cut)))
+    joined = F.transform(F.array(lines), lambda all_: F.array_join(F.transform(cut, lambda i: F.get(all_, i)), "\n"))
+    return out.withColumn(text, F.when(F.col(cut).isNull(), F.col(text)).otherwise(F.get(joined, F.lit(0)))).drop(k, v, cut)
 
 
 def line_digests(docs: DataFrame) -> DataFrame:

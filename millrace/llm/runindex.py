@@ -289,6 +289,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
         return materialize(docs.join(wanted.hint("merge"), ["k1", "k2"]).mapInArrow(cut, kinds), "cuts")
 
     cuts = cuts_of(wanted, 0)
+    release(spans, again)
     for level in range(1, (length - k).bit_length() + 1):
         # Only rows of several texts make a group hot: one text needs no splitting, however long.
         sizes = cuts.groupBy("m", "r1", "r2").agg((F.max("n") + length).cast("long").alias("n")).groupBy("m")
@@ -333,16 +334,20 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
     ranges = texts.repartition("m").sortWithinPartitions("m").mapInArrow(mark, "m long, r1 long, r2 long, ranges array<struct<a:int,b:int>>")
     ranges = materialize(ranges, "ranges")
     hits = cuts.select("k1", "k2", "m", "r1", "r2", "s").join(ranges.hint("merge"), ["m", "r1", "r2"]).select("k1", "k2", "s", F.explode("ranges").alias("x"))
-    return hits.select("k1", "k2", (F.col("s") + F.col("x.a")).alias("a"), (F.col("s") + F.col("x.b")).alias("b"))
+    hits = materialize(hits.select("k1", "k2", (F.col("s") + F.col("x.a")).alias("a"), (F.col("s") + F.col("x.b")).alias("b")), "hits")
+    release(cuts, ranges)
+    return hits
 
 
 def dedup_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every row.
+    """key, n_bytes, n_removed, n_spans, kept_sha256, repeats, removed_share and kept (the remaining bytes) of every row.
 
     A byte goes if a string of `length` bytes that covers it also starts anywhere else, in the same text or
     another; all is judged on the input. Matches lie within one text. Null texts count as empty; shorter texts
     keep all; rows that repeat are texts of their own, so long ones lose all their bytes; a null key stays
-    null; an empty table gives no rows; other columns are left out.
+    null; an empty table gives no rows; other columns are left out. repeats says whether any byte goes,
+    removed_share which part of the bytes (an empty text: none). Runs Spark jobs when called: the index is built
+    in steps, each a table in the shared folder, deleted when the next is written.
     """
     own = docs.select(F.col(key).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     own = own.select("_id", F.coalesce("_id", F.lit(0)).alias("k1"), F.xxhash64("_id", "text", F.lit(13)).alias("k2"), "text")
@@ -365,9 +370,10 @@ def dedup_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", length
                     kept.append(data[at:a])
                     at = b
                 kept = b"".join([*kept, data[at:]])
-                out.append((doc, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                lost = len(data) - len(kept)
+                out.append((doc, len(data), lost, len(spans), hashlib.sha256(kept).hexdigest(), lost > 0, lost / max(1, len(data)), kept))
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.bool_(), pa.float64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "repeats", "removed_share", "kept"])
 
-    return own.join(found.hint("merge"), ["k1", "k2"], "left").mapInArrow(remove, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return own.join(found.hint("merge"), ["k1", "k2"], "left").mapInArrow(remove, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, repeats boolean, removed_share double, kept binary")

@@ -280,27 +280,46 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, key: str =
     return prints.join(named, ["fp", "meet"]).select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def similar(docs: DataFrame, width: int, radius: int, meetings: int, least: tuple[int, int], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, component_id) of every document whose set of word shingles is as similar as least to another's.
-
-    Links are pairs of Jaccard similarity num / den or more, recounted on the sets' 64-bit shingle hashes.
-    Proposed are the pairs that share one of `meetings` minhashes and whose fingerprints differ in at most
-    radius bits; equal sets always link. component_id: the smallest key reachable by links. Texts without words
-    have equal sets. Null keys are left out.
-    """
-    own = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("v"), F.col(text).cast("string").alias("text")).where("id is not null")
+def _similar(docs: DataFrame, width: int, radius: int, meetings: int, least: tuple[int, int], key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with the digest of their shingle set, sets with their least row and component)."""
+    own = docs.select(*row_keys(key, text), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     prints = materialize(shingle_sets(own, width, meetings).drop("shingles"), "prints")
-    nodes = materialize(prints.groupBy("d1", "d2").agg(F.min(F.struct("id", "v")).alias("lo"), F.first("fp").alias("fp"), F.first("meet").alias("meet"), F.first("size").alias("size")), "nodes")
+    lo = F.struct("nul", "k", "v")
+    nodes = materialize(prints.groupBy("d1", "d2").agg(F.min(lo).alias("lo"), F.first("fp").alias("fp"), F.first("meet").alias("meet"), F.first("size").alias("size")), "nodes")
     # A node's number is its digest: two sets may have one key.
     nodes = nodes.select(F.col("d1").alias("id"), "d2", "lo", "fp", "meet", "size")
 
     def sets(ids: DataFrame) -> DataFrame:
-        wanted = nodes.join(ids, "id", "left_semi").select(F.col("id").alias("node"), F.col("lo.id").alias("id"), F.col("lo.v").alias("v"))
-        texts = own.dropDuplicates(["id", "v"]).join(wanted.hint("merge"), ["id", "v"]).select("node", "text")
+        wanted = nodes.join(ids, "id", "left_semi").select(F.col("id").alias("node"), "lo.*")
+        texts = own.dropDuplicates(["nul", "k", "v"]).join(wanted.hint("merge"), ["nul", "k", "v"]).select("node", "text")
         return shingle_sets(texts, width, 0).select(F.col("node").alias("id"), "shingles")
 
     found = components(links(nodes, radius, meetings, least, sets))
     named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("d2", F.col("id").alias("d1"), "lo", F.coalesce("component", "id").alias("c"))
-    heads = named.groupBy("c").agg(F.min("lo.id").alias("component_id"))
-    named = named.join(heads, "c").select("d1", "d2", "component_id")
+    return prints, named
+
+
+def row_keys(key: str, text: str) -> list:
+    """nul, k and v: whether the key is null, the key, and the hash of the text; they sort null keys last and tell rows of one key apart."""
+    return [F.col(key).isNull().alias("nul"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("k"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("v")]
+
+
+def similar(docs: DataFrame, width: int, radius: int, meetings: int, least: tuple[int, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, component_id) of every document whose set of word shingles is as similar as least to another's.
+
+    Links are pairs of Jaccard similarity num / den or more, recounted on the sets' 64-bit shingle hashes.
+    Proposed are the pairs that share one of `meetings` minhashes and whose fingerprints differ in at most
+    radius bits; equal sets always link. component_id: the smallest key reachable by links, null if all keys of
+    the group are. Texts without words have equal sets. Repeated rows give equal rows, an empty table none.
+    Runs Spark jobs when called.
+    """
+    prints, named = _similar(docs, width, radius, meetings, least, key, text)
+    heads = named.groupBy("c").agg(F.min("lo").alias("head"))
+    named = named.join(heads, "c").select("d1", "d2", F.when(~F.col("head.nul"), F.col("head.k")).alias("component_id"))
     return prints.join(named, ["d1", "d2"]).select(F.col("id").alias(key), "component_id")
+
+
+def representatives(docs: DataFrame, width: int, radius: int, meetings: int, least: tuple[int, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(nul, k, v), as `row_keys` makes them, of one row of each group that `similar` finds: the least key's, null keys last."""
+    _, named = _similar(docs, width, radius, meetings, least, key, text)
+    return named.groupBy("c").agg(F.min("lo").alias("head")).select("head.*")

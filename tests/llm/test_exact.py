@@ -184,6 +184,7 @@ def test_byte_repeats_equal_brute_force(spark, docs, rows, empty):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in runindex.dedup_bytes(docs).collect()}
     assert got == dict(zip((i for i, _ in rows), brute_removal([t for _, t in rows], 400), strict=True))
     assert any(x[1] for x in got.values())
+    assert all(r.repeats == (r.n_removed > 0) and r.removed_share == r.n_removed / max(1, r.n_bytes) for r in runindex.dedup_bytes(docs).collect())
     assert runindex.dedup_bytes(empty).count() == 0
     twice = spark.createDataFrame([(5, "q" + "xyz" * 200), (5, "q" + "xyz" * 200), (None, "short")], "doc_id long, text string")
     assert sorted((r.n_bytes, r.n_removed) for r in runindex.dedup_bytes(twice).collect()) == [(5, 0), (601, 601), (601, 601)]
@@ -208,6 +209,7 @@ def test_hot_groups_of_bytes_go_through_the_index(spark, monkeypatch, block):
     monkeypatch.setattr(runindex, "BLOCK", block)
     made, write = {}, runindex.materialize
     monkeypatch.setattr(runindex, "materialize", lambda df, name: made.setdefault(name, []).append(write(df, name)) or made[name][-1])
+    monkeypatch.setattr(runindex, "release", lambda *frames: None)
     r = random.Random(9)
     text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
     hot = text(500)
