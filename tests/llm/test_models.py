@@ -129,6 +129,33 @@ def test_near_copies_stage_keeps_one_of_each_group(spark, data):
     assert sorted(str(r.doc_id) for r in corpus_pipeline.drop_near_copies(spark, docs, data).collect()) == ["1", "2", "None"]
 
 
+CLASHES = ("_k", "_v", "_gone", "_kept", "_n_lines", "_n_removed", "_toxicity", "_again", "_nul", "_row", "_lines", "k", "v", "nul", "id", "item_id")
+
+
+def test_pipeline_stages_leave_clashing_columns_alone(spark, data):
+    line = "a line that is long enough to be a passage " * 2
+    texts = [(1, line + "\n" + line[::-1] + "\nown one"), (2, line + "\n" + line[::-1] + "\nown two and more words here"), (None, None), (3, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "7L as n_chars", *(f"'{c}!' as `{c}`" for c in CLASHES))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, data)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == c + "!" for r in rows for c in CLASHES), name
+        assert stage(spark, docs.where("false"), data).count() == 0, name
+    cut = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_repeated_lines(spark, docs, data).collect()}
+    assert cut[2] == ("own two and more words here", 27) and cut[1] == (texts[0][1], 7) and cut[None] == (None, 7)
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, data):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine ten", "red orange yellow green blue indigo violet black")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, c), (2, a), (None, b), (None, "quite another text of seven or eight words"), (1, a)], "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "5L as n_chars")
+    got = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, data).collect())
+    assert got == sorted([("1", a), ("1", b), ("2", c), ("None", "quite another text of seven or eight words")])
+    bench = spark.read.parquet(f"{data}/benchmark.parquet").orderBy("item_id").first().text
+    docs = spark.createDataFrame([(1, a), (1, f"{a} {bench} {b}"), (None, bench), (None, c)], "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "5L as n_chars")
+    assert sorted((str(r.doc_id), r.text) for r in corpus_pipeline.drop_leaks(spark, docs, data).collect()) == sorted([("1", a), ("None", c)])
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql_agrees(spark, data, name):
     import duckdb
