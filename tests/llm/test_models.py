@@ -88,6 +88,61 @@ def test_alignment_equals_the_plain_recurrence():
         assert score == brute_align(a, b) and 0 <= first <= end <= len(b) and equal <= len(a)
 
 
+def test_alignment_in_pieces_finds_what_the_whole_does(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK", 1)
+    r = random.Random(8)
+    for _ in range(100):
+        item = np.array([r.randrange(40) for _ in range(r.randrange(1, 9))])
+        words = [r.randrange(40) for _ in range(r.randrange(1, 400))]
+        at = r.randrange(len(words))
+        words[at : at + len(item)] = [x for x in item.tolist() if r.random() < 0.8]
+        words = np.array(words or [1])
+        score, first, end, equal = decontaminate.best_alignment(item, words)
+        assert score == decontaminate.align(item, words)[0] == brute_align(item.tolist(), words[first:end].tolist())
+        assert equal <= end - first
+
+
+def test_a_long_text_costs_memory_by_the_item(spark):
+    import tracemalloc
+
+    r = np.random.default_rng(1)
+    item, words = r.integers(0, 3000, 150), r.integers(0, 3000, 400_000)
+    words[300_000:300_150] = item
+    tracemalloc.start()
+    assert decontaminate.best_alignment(item, words) == (300, 300_000, 300_150, 150)
+    assert tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.stop()
+
+
+def test_leaks_equal_an_alignment_of_every_pair(spark):
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(150)]
+    some = lambda n: [r.choice(words) for _ in range(n)]
+    items = [some(r.choice([1, 2, 12, 25, 40])) for _ in range(25)]
+    texts = []
+    for i in range(60):
+        body = some(r.randrange(0, 120))
+        for _ in range(r.randrange(3)):
+            copy = [w if r.random() > 0.12 else r.choice(words) for w in r.choice(items)]
+            body[(at := r.randrange(len(body) + 1)) : at] = copy
+        texts.append(" ".join(body))
+    texts += [texts[0], "", " ".join(items[2] + items[2])]
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x for x in decontaminate.leaks(docs, bench).collect()}
+    grams = lambda x: list(zip(x, x[1:], strict=False)) or [tuple(x)]
+    held = [{*grams(t.split()), *((w,) for w in t.split())} for t in texts]
+    counts = {g: sum(g in h for h in held) for x in items for g in grams(x)}
+    rare = [{g for g in grams(x) if counts[g] <= sorted(counts[y] for y in grams(x))[(len(grams(x)) - 1) // 2]} for x in items]
+    want = {(d, i): brute_align(x, t.split()) / (2 * len(x)) for d, t in enumerate(texts) for i, x in enumerate(items) if rare[i] & held[d]}
+    want = {k: v for k, v in want.items() if v >= decontaminate.LEAST}
+    assert want == {k: x.score for k, x in got.items()}
+    every = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if len(x) >= 12 and brute_align(x, t.split()) >= decontaminate.LEAST * 2 * len(x)}
+    found = {k for k in got if len(items[k[1]]) >= 12}  # edits may leave a short copy without a rare pair of words
+    assert found <= every and len(every - found) <= len(every) // 20
+    tie = got[len(texts) - 1, 2]  # two equal copies: the first counts
+    assert tie.start == 0 and len(got) > 30
+
+
 def test_leaks_find_copies_edits_and_nothing_else(spark, monkeypatch):
     r = random.Random(9)
     words = [f"x{i}" for i in range(500)]
@@ -102,6 +157,7 @@ def test_leaks_find_copies_edits_and_nothing_else(spark, monkeypatch):
     assert {(x.doc_id, x.item_id) for x in got} == want
     first = next(x for x in got if x.doc_id == 0)
     assert texts[0][first.start : first.end] == " ".join(item) and first.score == 1.0
+    monkeypatch.setattr(decontaminate, "CHUNK", 8)
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)  # several passes
     assert {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench).where("item_id = 1").collect()} == want
     assert decontaminate.leaks(docs.where("false"), bench).count() == 0 and decontaminate.leaks(docs, bench.where("false")).count() == 0
