@@ -265,6 +265,36 @@ def test_packing_keeps_its_law(docs, rows, empty):
     assert packing.pack(empty, 4).count() == 0
 
 
+def test_placing_equals_the_plain_loop():
+    r = np.random.default_rng(2)
+    for _ in range(30):
+        demand = r.random((r.integers(0, 40), 3)) * 0.1
+        shards = int(r.integers(1, 6))
+        left = [[1 / shards] * 3 for _ in range(shards)]
+        want = [0] * len(demand)
+        for i in sorted(range(len(demand)), key=lambda i: (-max(demand[i]), i)):
+            dots = [sum(w * a * b for w, a, b in zip(packing.WEIGHT, demand[i], row, strict=True)) for row in left]
+            want[i] = k = dots.index(max(dots))
+            left[k] = [a - b for a, b in zip(left[k], demand[i], strict=True)]
+        assert packing.place(demand, np.full((shards, 3), 1 / shards)).tolist() == want
+
+
+@pytest.mark.parametrize("bundle", [20_000, 40])
+def test_packing_balances_all_dimensions_over_many_bundles(spark, monkeypatch, bundle):
+    monkeypatch.setattr(packing, "BUNDLE", bundle)
+    monkeypatch.setattr(packing, "CHUNK", 50)
+    r = random.Random(6)
+    texts = ["x" * r.randrange(1, 400) if r.random() < 0.2 else " ".join(["w"] * r.randrange(1, 150)) + str(i) for i in range(2000)]
+    texts += texts[:300]
+    df = spark.createDataFrame([(i if i % 50 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = packing.pack(df, 8).toPandas()
+    per = got.groupby("shard").agg(b=("size", "sum"), r=("size", "count"), top=("slot", "max"))
+    assert len(got) == len(texts) and (per.top + 1 == per.r).all() and got.groupby(["shard", "slot"]).size().max() == 1
+    loose = 1.0 if bundle > len(texts) else 1.1  # 40 groups over 8 shards leave more over
+    assert per.b.max() < 1.01 * loose * per.b.min() and per.r.max() < 1.1 * loose * per.r.min()
+    assert got.groupby("text_crc32").shard.nunique().max() == 1  # groups stay whole
+
+
 def test_a_hot_group_is_dealt_to_all_shards(spark):
     df = spark.createDataFrame([(i, "same text" if i % 3 == 0 else f"text number {i}") for i in range(900)], "doc_id long, text string")
     sums = packing.pack(df, 6).groupBy("shard").sum("size").toPandas()["sum(size)"]
