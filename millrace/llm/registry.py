@@ -45,12 +45,17 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_documents(table(spark, sf_dir, "documents"))
 
 
+def spotsig_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside op9: all pairs of its fingerprints, joined over length partitions by pruned Jaccard."""
+    return spotsigs.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_run_length_index, op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op7_decontamination, op8_sentencepiece, op9_spotsigs, op10_pii)}
+    return {f.__name__: f for f in (op1_toxicity, op2_run_length_index, op3_simhash_near_dedup, op4_vector_packing, op5_perspective_rotation, op6_line_dedup, op7_decontamination, op8_sentencepiece, op9_spotsigs, op10_pii, spotsig_groups)}
 
 
 def oracle_sql() -> dict:

@@ -384,7 +384,26 @@ def test_spotsigs_across_buckets(spark, monkeypatch):
     assert got == {i: hashlib.sha256((t(i)[: len(t(i)) - len(t(i)) // 2] + t((i - 1) % 100)[: len(t(i)) // 2]).encode()).hexdigest() for i in range(100)}
 
 
-def test_spotsigs_groups_equal_brute_force(spark, docs, rows, empty):
+def test_spotsigs_of_repeated_and_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 5)
+    r = random.Random(3)
+    rows = [(r.choice([7, 7, 7, None, None, i]), f"the w{r.randrange(40)} x{i % 60} of y{i % 9}") for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hashes = {x.text: x.h for x in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), hashes[x[1]]))
+    want = []
+    for at, (i, t) in enumerate(order):
+        after = order[(at + 1) % len(order)][1]
+        want.append((i, hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()))
+    got = [(x.doc_id, x.edited_sha256) for x in spotsigs.compare_documents(df).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    buckets = spotsigs.neighbours(df, "doc_id", "text").where("halo = 0 and doc_id = 7").select("bucket").distinct().count()
+    assert buckets > 2  # a hot key is spread
+
+
+@pytest.mark.parametrize("split", [2_000, 6])
+def test_spotsigs_groups_equal_brute_force(spark, docs, rows, empty, monkeypatch, split):
+    monkeypatch.setattr(spotsigs, "SPLIT", split)
     r = random.Random(4)
     words = ["the", "of", "a", "is", *(f"w{i}" for i in range(300))]
     long = [[r.choice(words) for _ in range(300)] for _ in range(4)]
