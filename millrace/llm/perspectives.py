@@ -57,6 +57,18 @@ def rotate(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     return out.select("conv_id", "perspective", "turn", "role", "name", "segment", "start", end.alias("end"), F.when(trained, F.col("start") + F.col("skip")).alias("mask_start"), F.when(trained, end).alias("mask_end"))
 
 
+def renderings(rotated: DataFrame) -> DataFrame:
+    """(conv_id, perspective, rendering, masks) of what `rotate` returns: the segments joined in their places, and the trained ranges in order.
+
+    One row holds one conversation, so this is for conversations that fit in a row; `rotate` itself has no such bound.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("start", "segment", "mask_start", "mask_end")))
+    out = rotated.groupBy("conv_id", "perspective").agg(parts.alias("parts"))
+    trained = F.filter("parts", lambda p: p["mask_start"].isNotNull())
+    masks = F.transform(trained, lambda p: F.struct(p["mask_start"].alias("start"), p["mask_end"].alias("end")))
+    return out.select("conv_id", "perspective", F.array_join(F.transform("parts", lambda p: p["segment"]), "").alias("rendering"), masks.alias("masks"))
+
+
 ORACLE = """
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),

@@ -315,6 +315,10 @@ def test_perspectives_join_to_whole_renderings(spark):
             if r.mask_start is not None:
                 assert text[r.mask_start : r.mask_end] == {"user": "hi", "bot": "yo", "unknown": ""}[view] + "<|im_end|>\n"
     assert perspectives.rotate(turns.where("false")).count() == 0
+    whole = {(r.conv_id, r.perspective): r for r in perspectives.renderings(perspectives.rotate(turns)).collect()}
+    bot = whole[1, "bot"]
+    assert bot.rendering == "<|im_start|>user name=unknown\n<|im_end|>\n<|im_start|>system\ns<|im_end|>\n<|im_start|>user name=user\nhi<|im_end|>\n" + "<|im_start|>assistant\nyo<|im_end|>\n" * 2
+    assert [bot.rendering[m.start : m.end] for m in bot.masks] == ["yo<|im_end|>\n"] * 2 and len(whole) == 4
 
 
 def test_line_dedup_keeps_the_first_of_each_passage(spark, empty):
