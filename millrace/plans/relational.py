@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators import dedup, gates, joins, ranking, stats
 from millrace.plans.registering import Plans
-from millrace.session import shared_folder
 from millrace.session import table as T
 
 plan = Plans()
@@ -374,24 +373,24 @@ def next_shard_name(spark, d):
     return next_name(T(spark, d, "part").select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string"), F.lit(".jsonl")).alias("f")), "f", "part", "jsonl")
 
 
-def _shared(spark: SparkSession) -> str:
-    """A folder of the query's own in the shared place the cluster names."""
-    import uuid
-
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-
-
-@plan(None)
+@plan("""WITH RECURSIVE c AS (SELECT l_orderkey::VARCHAR AS task_id, l_orderkey || '-' || l_partkey AS uuid, round(max(l_extendedprice), 0) AS score, list(DISTINCT l_suppkey) AS lineage FROM lineitem GROUP BY l_orderkey, l_partkey),
+  r AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY score DESC, uuid) AS k, max(score) OVER (PARTITION BY task_id) AS top FROM c),
+  o AS (SELECT *, row_number() OVER (ORDER BY k, top DESC, task_id) AS i FROM r WHERE k <= 2),
+  f AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS used, false AS ok UNION ALL
+    SELECT o.i, CASE WHEN list_has_any(f.used, o.lineage) THEN f.used ELSE list_concat(f.used, o.lineage) END, NOT list_has_any(f.used, o.lineage) FROM f JOIN o ON o.i = f.i + 1)
+  SELECT task_id, uuid, score FROM f JOIN o USING (i) WHERE ok""")
 def lineage_capped_selection(spark, d):
-    """Lines as candidates, orders as tasks, suppliers as lineage; held against a sequential loop in the tests."""
+    """Lines as candidates, orders as tasks, suppliers as lineage."""
     c = T(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.round(F.max("l_extendedprice"), 0).alias("score"), F.array_sort(F.collect_set(F.col("l_suppkey"))).alias("lineage"))
     c = c.select(F.col("l_orderkey").cast("string").alias("task_id"), F.concat_ws("-", "l_orderkey", "l_partkey").alias("uuid"), "score", "lineage")
-    return dedup.capped_selection(c, "task_id", "score", "uuid", "lineage", 2, 0, _shared(spark)).select("task_id", "uuid", "score")
+    return dedup.capped_selection(c, "task_id", "score", "uuid", "lineage", 2, 0).select("task_id", "uuid", "score")
 
 
-@plan(None)
+@plan("""WITH RECURSIVE o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS i FROM (SELECT o_orderkey, 'c' || (o_custkey % 200) AS c, 'd' || (dayofyear(o_orderdate)) AS d FROM orders)),
+  f AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS used, false AS ok UNION ALL
+    SELECT o.i, CASE WHEN list_has_any(f.used, [o.c, o.d]) THEN f.used ELSE list_concat(f.used, [o.c, o.d]) END, NOT list_has_any(f.used, [o.c, o.d]) FROM f JOIN o ON o.i = f.i + 1)
+  SELECT o_orderkey, c, d FROM f JOIN o USING (i) WHERE ok""")
 def disjunctive_dedup(spark, d):
-    """Rows that share a part or a supplier with an earlier kept row go; held against a sequential loop in the tests."""
-    li = T(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
-    keys = F.array(F.concat(F.lit("p"), F.col("p").cast("string")), F.concat(F.lit("s"), F.col("s").cast("string")))
-    return dedup.conflict_free(li.withColumn("keys", keys), "l_orderkey", "keys", _shared(spark)).select("l_orderkey", "p", "s")
+    """Rows that share either of two keys with an earlier kept row go."""
+    o = T(spark, d, "orders").select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey") % 200).alias("c"), F.concat(F.lit("d"), F.dayofyear("o_orderdate")).alias("d"))
+    return dedup.conflict_free(o.withColumn("keys", F.array("c", "d")), "o_orderkey", "keys").select("o_orderkey", "c", "d")

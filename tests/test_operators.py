@@ -9,7 +9,8 @@ from millrace.operators import dedup, joins, ranking, stateful, stats
 from millrace.sources import readers, writers
 
 
-def test_conflict_free_equals_the_sequential_loop(spark, tmp_path):
+@pytest.mark.parametrize("rounds", [1, 6])
+def test_conflict_free_equals_the_sequential_loop(spark, rounds):
     r = random.Random(4)
     rows = [(i, [f"k{r.randrange(60)}" for _ in range(r.randrange(0, 4))]) for i in range(300)]
     used, kept = set(), set()
@@ -18,10 +19,17 @@ def test_conflict_free_equals_the_sequential_loop(spark, tmp_path):
             kept.add(i)
             used |= set(keys)
     df = spark.createDataFrame(rows, "i long, keys array<string>")
-    assert {x.i for x in dedup.conflict_free(df, "i", "keys", str(tmp_path)).collect()} == kept
+    assert {x.i for x in dedup.conflict_free(df, "i", "keys", rounds).collect()} == kept
 
 
-def test_capped_selection_equals_the_sequential_loop(spark, tmp_path):
+def test_a_long_chain_settles(spark):
+    df = spark.range(10_000).selectExpr("id as i", "array(cast(id as string), cast(id + 1 as string)) as keys")
+    assert [x.i for x in dedup.conflict_free(df, "i", "keys", 1).orderBy("i").collect()] == list(range(0, 10_000, 2))
+    chain = df.where("i < 24")  # too large to fold: rounds alone
+    assert [x.i for x in dedup.conflict_free(chain, "i", "keys", 3, fold=5).orderBy("i").collect()] == list(range(0, 24, 2))
+
+
+def test_capped_selection_equals_the_sequential_loop(spark):
     r = random.Random(5)
     rows = [(f"t{r.randrange(25)}", f"u{i:03}", float(r.randrange(9)), sorted({f"l{r.randrange(80)}" for _ in range(2)})) for i in range(150)]
     by: dict = {}
@@ -36,7 +44,7 @@ def test_capped_selection_equals_the_sequential_loop(spark, tmp_path):
                 picked.append(by[t][k][1])
                 used |= set(by[t][k][3])
     df = spark.createDataFrame(rows, "task string, uuid string, score double, lineage array<string>")
-    got = dedup.capped_selection(df, "task", "score", "uuid", "lineage", 3, 20, str(tmp_path)).collect()
+    got = dedup.capped_selection(df, "task", "score", "uuid", "lineage", 3, 20).collect()
     assert {x.uuid for x in got} == set(picked[:20])
 
 
