@@ -14,8 +14,6 @@ FENCE = r"```"
 CHECKBOX = r"(?m)^\s*[-*] \[[ xX]\]"
 FILE_HINT = r"\b[A-Za-z0-9_./-]+\.(py|js|ts|go|rs|java|c|cpp|h|rb|php)\b"
 SIGNATURE = r"\b(def|func|function|class|interface|fn)\s+[A-Za-z_]\w*"
-TEST_EDIT = r"(?i)\b(add|create|modify|update|change|write)\s+(a |new |the )?(unit |integration )?tests?\b"
-NO_TEST_EDIT = r"(?i)do not (add|create|modify|update|change|write) (a |new |the )?(unit |integration )?tests?|\bnon-test (source )?files?\b"
 
 
 def counts(text: Column) -> dict[str, Column]:
@@ -88,10 +86,6 @@ def observation(text: Column, limit: int = 10_000) -> Column:
     return F.concat(F.lit("<returncode>"), code, F.lit("</returncode>\n"), F.when(F.length(body) < limit, short).otherwise(long))
 
 
-def asks_for_test_edits(text: Column) -> Column:
-    return text.rlike(TEST_EDIT) & ~text.rlike(NO_TEST_EDIT)
-
-
 def public_symbols(text: Column) -> Column:
     """Names that definitions introduce, without those that start with an underscore, in order, once each."""
     names = F.regexp_extract_all(text, F.lit(r"\b(?:def|class|func|function|fn|interface)\s+([A-Za-z_]\w*)"), 1)
@@ -102,30 +96,6 @@ def quoted_literals(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(r"`([^`\n]{2,80})`"), 1))
 
 
-def anchor_terms(text: Column, most: int = 80) -> Column:
-    """Paths, dotted names and quoted literals of 4 to 120 characters, in order, once each regardless of case."""
-    found = F.regexp_extract_all(text, F.lit(r"`[^`\n]+`|\b[\w./-]+\.\w+\b|\b\w+_\w+\b"), 0)
-    found = F.transform(found, lambda x: F.trim(F.translate(x, "`", " ")))
-    found = F.filter(found, lambda x: F.length(x).between(4, 120))
-    fold = F.transform(found, lambda x: F.lower(x))
-    return F.slice(F.filter(found, lambda x, i: F.array_position(fold, F.lower(x)) == i + 1), 1, most)
-
-
-def answer_error(answer: Column) -> Column:
-    """The first failed check of a model's JSON answer, null if it passes."""
-    body = F.regexp_replace(F.trim(answer), r"(?s)^```(?:json)?\s*(.*?)\s*```$", "$1")
-    field = lambda k: F.get_json_object(body, f"$.{k}")
-    prompt = field("prompt")
-    return (
-        F.when(prompt.isNull() & ~F.coalesce(body.startswith("{"), F.lit(False)), "invalid_json")
-        .when(prompt.isNull(), "missing_prompt")
-        .when(F.length(prompt) < 250, "too_short")
-        .when(~prompt.rlike(r"(?i)\b(fix|implement|add|change|make|ensure|update)\b"), "no_intent")
-        .when(prompt.rlike(r"(?i)\b(continue|resume|previous session)\b"), "continuation")
-        .when(asks_for_test_edits(prompt), "test_edits")
-    )
-
-
 def estimated_tokens(length: Column, *given: Column, ratio: float = 4.0) -> Column:
     """The first positive given count, else characters over a ratio, rounded half to even."""
     return F.coalesce(*(F.when(c > 0, c.cast("long")) for c in given), F.bround(length / F.lit(ratio)).cast("long"))

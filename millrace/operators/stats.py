@@ -49,6 +49,28 @@ def percentile_ranked(df: DataFrame, value: str, group: list[str], points: dict[
     return counts.groupBy(*group).agg(*(F.min(F.when(F.col("_upto") > place(p), F.col(value))).alias(n) for n, p in points.items()))
 
 
+def percentiles(df: DataFrame, value: str, group: list[str], points: dict[str, tuple[str, float]]) -> DataFrame:
+    """Percentiles of any rule, from one count per distinct value and one pass over them.
+
+    points: name to (rule, share). nearest and floor take the value at that place of the order, rounded half to even
+    or down; linear lies between its neighbours. A group's distinct values are one window's rows.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    counts = counts.withColumn("_upto", F.sum("_n").over(w.orderBy(value))).withColumn("_all", F.sum("_n").over(w))
+    out, made = [], {}
+    for name, (rule, p) in points.items():
+        place = (F.col("_all") - 1) * F.lit(p)
+        at = lambda i: F.min(F.when(F.col("_upto") > i, F.col(value)))
+        if rule == "linear":
+            made[name] = (F.col(f"_{name}0") + (F.col(f"_{name}1") - F.col(f"_{name}0")) * F.col(f"_{name}f")).alias(name)
+            out += [at(F.floor(place)).alias(f"_{name}0"), at(F.ceil(place)).alias(f"_{name}1"), F.max(place - F.floor(place)).alias(f"_{name}f")]
+        else:
+            made[name] = F.col(name)
+            out.append(at(F.bround(place) if rule == "nearest" else F.floor(place)).alias(name))
+    return counts.groupBy(*group).agg(*out).select(*group, *made.values())
+
+
 def average_ranks(df: DataFrame, col: str, name: str, group: list[str] | None = None) -> DataFrame:
     """0-based ranks; equal values share the mean of their places."""
     key = group or [F.lit(0)]

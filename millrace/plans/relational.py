@@ -36,19 +36,20 @@ def best_per_group(spark, d):
   UNION ALL SELECT l_orderkey, 2, l_linenumber, l_partkey, l_extendedprice FROM s WHERE r2 = 1""")
 def best_two_novel(spark, d):
     order = [F.asc("l_returnflag"), F.desc("l_extendedprice"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")]
-    out = ranking.novel_per_group(T(spark, d, "lineitem"), ["l_orderkey"], order, "l_linestatus", 2, "l_linenumber", rank="pick", novelty_at=1)
+    out = ranking.novel_per_group(T(spark, d, "lineitem"), ["l_orderkey"], order, "l_linestatus", 2, rank="pick", novelty_at=1)
     return out.select("l_orderkey", "pick", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-@plan("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_quantity DESC, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS k FROM lineitem),
-  r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY k > 1, l_quantity DESC, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS pick FROM l)
-  SELECT l_orderkey, pick::INT AS pick, l_returnflag, l_partkey FROM r WHERE pick <= 3""")
-def three_per_group_novelty_first(spark, d):
-    """Preferring new values at every step is the same as taking each value's best first."""
+@plan("""WITH RECURSIVE l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS k FROM lineitem),
+  p AS (SELECT l_orderkey, 1 AS pick, k, l_returnflag, l_partkey, [k] AS took, [l_returnflag] AS used FROM l WHERE k = 1 UNION ALL
+    SELECT * FROM (SELECT l.l_orderkey, p.pick + 1, l.k, l.l_returnflag, l.l_partkey, list_append(took, l.k), list_append(used, l.l_returnflag) FROM p JOIN l USING (l_orderkey) WHERE p.pick < 3 AND NOT list_contains(took, l.k)
+    QUALIFY row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_quantity DESC, list_contains(used, l.l_returnflag), l.k) = 1))
+  SELECT l_orderkey, pick::INT AS pick, l_returnflag, l_partkey FROM p""")
+def three_per_group_novelty_last(spark, d):
+    """Rank first, a value the group has not yet second: among rows of one rank new values go first."""
     order = [F.desc("l_quantity"), F.asc("l_partkey"), F.asc("l_suppkey"), F.asc("l_linenumber"), F.asc("l_extendedprice")]
-    w = Window.partitionBy("l_orderkey", "l_returnflag").orderBy(*order)
-    rows = T(spark, d, "lineitem").withColumn("again", F.row_number().over(w) > 1)
-    return ranking.top_per_group(rows, ["l_orderkey"], [F.col("again"), *order], 3, "pick").select("l_orderkey", "pick", "l_returnflag", "l_partkey")
+    out = ranking.novel_per_group(T(spark, d, "lineitem"), ["l_orderkey"], order, "l_returnflag", 3, rank="pick", novelty_at=1)
+    return out.select("l_orderkey", "pick", "l_returnflag", "l_partkey")
 
 
 @plan("""WITH h AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
@@ -87,6 +88,15 @@ def largest_remainder_quotas(spark, d):
     return ranking.largest_remainder(weights, "c_mktsegment", "weight", 50)
 
 
+@plan("""WITH RECURSIVE g AS (SELECT n_name AS name, n_nationkey + 1 AS weight, n_nationkey % 4 AS cap FROM nation), e AS (SELECT *, weight * 30 / sum(weight) OVER () AS x FROM g), f AS (SELECT *, least(cap, floor(x)) AS fl FROM e),
+  o AS (SELECT *, row_number() OVER (ORDER BY round(x - floor(x), 9) DESC, name) AS i, greatest(0, 30 - sum(fl) OVER ()) AS rest FROM f), t AS (SELECT *, sum((fl < cap)::INT) OVER (ORDER BY i) AS turn FROM o)
+  SELECT name, weight, cap, (fl + (fl < cap AND turn <= rest)::INT)::BIGINT AS quota FROM t""")
+def capped_quotas(spark, d):
+    """Seats that a full group cannot take go to the next fractions."""
+    groups = T(spark, d, "nation").select(F.col("n_name").alias("name"), (F.col("n_nationkey") + 1).alias("weight"), (F.col("n_nationkey") % 4).alias("cap"))
+    return ranking.largest_remainder(groups, "name", "weight", 30, "cap")
+
+
 @plan("""WITH p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
   SELECT p_partkey, i AS position, i // 4 AS block, (i % 4 + i // 4) % 3 AS cell, i % 5 AS model, i % 2 = 0 AS even_style FROM p""")
 def block_rotation(spark, d):
@@ -218,11 +228,8 @@ def overlap_counts(spark, d):
   SELECT o_orderpriority, max(o_totalprice) FILTER (i = round_even((n - 1) * 0.5, 0)) AS p50_nearest, max(o_totalprice) FILTER (i = floor((n - 1) * 0.9)) AS p90_floor,
   round(quantile_cont(o_totalprice, 0.95), 4) AS p95_linear FROM o GROUP BY 1""")
 def percentiles(spark, d):
-    o = T(spark, d, "orders")
-    a = stats.percentile_ranked(o, "o_totalprice", ["o_orderpriority"], {"p50_nearest": 0.5})
-    b = stats.percentile_ranked(o, "o_totalprice", ["o_orderpriority"], {"p90_floor": 0.9}, floor=True)
-    c = o.groupBy("o_orderpriority").agg(F.round(F.percentile("o_totalprice", F.lit(0.95)), 4).alias("p95_linear"))
-    return a.join(b, "o_orderpriority").join(c, "o_orderpriority")
+    points = {"p50_nearest": ("nearest", 0.5), "p90_floor": ("floor", 0.9), "p95_linear": ("linear", 0.95)}
+    return stats.percentiles(T(spark, d, "orders"), "o_totalprice", ["o_orderpriority"], points).withColumn("p95_linear", F.round("p95_linear", 4))
 
 
 @plan("""WITH m AS (SELECT s_nationkey, count(*)::DOUBLE AS a, avg(s_acctbal) AS b FROM supplier GROUP BY 1),
@@ -313,12 +320,16 @@ def reason_counts(spark, d):
     return stats.exploded_counter(T(spark, d, "orders"), r)
 
 
-@plan("""SELECT o_orderkey, CASE WHEN o_totalprice > 400000 AND o_orderstatus <> 'F' THEN 'infrastructure_error' WHEN o_orderstatus = 'F' THEN 'passed' WHEN o_orderkey % 10 = 0 THEN 'empty_patch' WHEN o_orderpriority = '1-URGENT' THEN 'not_submitted' ELSE 'failed_tests' END AS outcome FROM orders""")
+@plan("""WITH r AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN '' WHEN o_orderpriority = '1-URGENT' THEN 'missing_submit_command' WHEN o_orderpriority = '2-HIGH' THEN 'patch_artifact_assembly' WHEN o_orderpriority = '5-LOW' THEN 'weak_patch_check_before_submit' ELSE 'verifier_reward_not_1' END AS found FROM orders)
+  SELECT o_orderkey, CASE WHEN found = '' THEN 'resolved' WHEN o_totalprice > 400000 AND o_custkey % 2 = 0 THEN 'harness_error' WHEN o_custkey % 11 = 0 THEN 'patch_apply_failed' WHEN found = 'missing_submit_command' THEN 'missing_submit' WHEN o_orderkey % 10 = 0 THEN 'empty_patch'
+    WHEN found = 'patch_artifact_assembly' THEN 'malformed_or_manual_patch' WHEN found = 'verifier_reward_not_1' THEN 'unresolved' ELSE found END AS outcome FROM r""")
 def outcome_categories(spark, d):
-    o = T(spark, d, "orders")
-    error = F.when((F.col("o_totalprice") > 400000) & (F.col("o_orderstatus") != "F"), "stopped")
-    c = gates.outcome_category((F.col("o_orderstatus") == "F").cast("double"), F.col("o_orderpriority") != "1-URGENT", F.col("o_orderkey") % 10, error)
-    return o.select("o_orderkey", c.alias("outcome"))
+    """An order's fields stand in for its audit's reasons and its result."""
+    found = F.when(F.col("o_orderpriority") == "1-URGENT", "missing_submit_command").when(F.col("o_orderpriority") == "2-HIGH", "patch_artifact_assembly").when(F.col("o_orderpriority") == "5-LOW", "weak_patch_check_before_submit").otherwise("verifier_reward_not_1")
+    found = F.when(F.col("o_orderstatus") == "F", F.array().cast("array<string>")).otherwise(F.array(found))
+    result = F.when(F.col("o_custkey") % 11 == 0, '{"error": "git apply did fail"}').otherwise("{}")
+    c = gates.outcome_category(found, F.col("o_orderkey") % 10, F.lit(1), result, F.col("o_custkey") % 2, F.col("o_totalprice") > 400000)
+    return T(spark, d, "orders").select("o_orderkey", c.alias("outcome"))
 
 
 @plan("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, coalesce(l_returnflag = 'A' AND l_tax > 0 AND l_quantity BETWEEN 1 AND 30 AND l_discount >= 0.03, false) AS ok FROM lineitem""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import coerce, commands, diffs, texts
+from millrace.functions import coerce, commands, diffs, submissions, texts
 from millrace.operators import dedup, gates, ranking, stats
 from millrace.plans.registering import Plans
 from millrace.session import table as T
@@ -182,7 +182,7 @@ def observations(spark, d):
     return T(spark, d, "documents").where("text is not null").select("doc_id", F.sha2(texts.observation(F.col("text"), 2000), 256).alias("digest"))
 
 
-@plan("""SELECT doc_id, regexp_matches(text, '(?i)\\b(add|create|modify|update|change|write)\\s+(a |new |the )?(unit |integration )?tests?\\b') AS asks, len(regexp_extract_all(text, '[0-9]{4,}')) AS n_numbers, length(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')) AS n_collapsed FROM documents""")
+@plan("""SELECT doc_id, coalesce((regexp_matches(text, '(?is)(^|[^-]|[^n]-|[^o]n-|[^n]on-)(add|create|modify|update|change|write)\\s+(a\\s+|new\\s+|the\\s+)?(unit\\s+|integration\\s+)?tests?\\b') OR regexp_matches(text, '(?is)(add|create|modify|update|change|write).{0,80}\\btests?/')) AND NOT regexp_matches(text, '(?i)do not (add|create|modify|update|change|write) (a |new |the )?(unit |integration )?tests?') AND NOT regexp_matches(text, '(?i)\\bnon-test (source )?files?\\b'), false) AS asks, len(regexp_extract_all(text, '[0-9]{4,}')) AS n_numbers, length(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')) AS n_collapsed FROM documents""")
 def prompt_measures(spark, d):
     c = F.regexp_replace(F.regexp_replace("text", "[ \t]+", " "), "\n{3,}", "\n\n")
-    return T(spark, d, "documents").select("doc_id", texts.asks_for_test_edits(F.col("text")).alias("asks"), F.regexp_count("text", F.lit("[0-9]{4,}")).alias("n_numbers"), F.length(c).alias("n_collapsed"))
+    return T(spark, d, "documents").select("doc_id", submissions.asks_for_test_edits(F.col("text")).alias("asks"), F.regexp_count("text", F.lit("[0-9]{4,}")).alias("n_numbers"), F.length(c).alias("n_collapsed"))

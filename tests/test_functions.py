@@ -1,7 +1,9 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import coerce, diffs, messages, texts
+from millrace.functions import coerce, diffs, messages, submissions, texts
 from millrace.operators import adapters
 
 PATCH = "diff --git a/src/a.py b/src/a.py\n--- a/src/a.py\n+++ b/src/a.py\n@@ -1,2 +1,3 @@ def f\n-old\n+new\n+more\n same\ndiff --git a/tests/test_a.py b/tests/test_a.py\n--- a/tests/test_a.py\n+++ b/tests/test_a.py\n@@ -1 +1 @@\n-x\n+y"
@@ -44,12 +46,36 @@ def test_texts(spark):
     r = one(spark, texts.counts(c)["n_urls"].alias("u"), texts.last_fence(c).alias("f"), texts.tidy_prompt(c).alias("p"), text=t)
     assert r.u == 2 and r.f == "y = 2\n" and "todo" not in r.p and "()" not in r.p and "\nadded" in r.p
     assert one(spark, texts.task_text(c).alias("x"), text="a <issue> it fails </issue> b").x == "it fails"
-    assert one(spark, texts.anchor_terms(c).alias("x"), text="use `Foo.bar` and foo.bar in src/a_b.py").x == ["Foo.bar", "src/a_b.py"]
-    assert one(spark, texts.answer_error(c).alias("x"), text="no json").x == "invalid_json"
-    assert one(spark, texts.answer_error(c).alias("x"), text='{"prompt": "short"}').x == "too_short"
     assert one(spark, texts.problem_key(c).alias("x"), text=" Ａ  b\n").x == "a b"
 
 
+def test_model_answers(spark):
+    keys = {k: "x" for k in submissions.REQUIRED_KEYS}
+    prompt = "Fix the lexer so that nested quotes are handled. " * 6
+    error = lambda text: one(spark, submissions.answer_error(F.col("t")).alias("x"), text=text).x
+    assert error(json.dumps(keys | {"mini_swe_task_prompt": prompt})) is None
+    assert error("```json\n" + json.dumps(keys | {"mini_swe_task_prompt": prompt}) + "\n```") is None
+    assert error("Here it is: " + json.dumps(keys | {"mini_swe_task_prompt": prompt}) + " done") is None
+    assert error(" ") == "empty_response" and error("no json") == "no_json_object_found" and error("a {b} c") == "json_decode_error" and error("[1]") == "json_root_not_object"
+    assert error('{"original_goal": 1, "mini_swe_task_prompt": "x", "current_repo_state": 1}') == "missing_required_keys:actions_already_taken,compaction_model_reasoning,uncertainty_notes"
+    said = lambda p, **more: error(json.dumps(keys | {"mini_swe_task_prompt": p} | more))
+    assert said(" ") == "empty_mini_swe_task_prompt" and said(3) == "empty_mini_swe_task_prompt" and said("short") == "mini_swe_task_prompt_too_short"
+    assert said(prompt + "See the retained suffix.") == "mini_swe_task_prompt_contains_compaction_process_marker"
+    assert said("Read the page. " * 30) == "mini_swe_task_prompt_missing_task_intent"
+    assert said(prompt + "Continue.") == "mini_swe_task_prompt_contains_continuation_marker"
+    assert said(prompt + "Write new tests.") == "mini_swe_task_prompt_requests_test_edits"
+    assert said(prompt, compaction_model_reasoning="") == "empty_compaction_model_reasoning"
+
+
+def test_faithful_prompts(spark):
+    anchors = one(spark, submissions.anchor_terms(F.col("t"), F.lit("org/some-repo")).alias("x"), text="use `Foo.bar` and foo.bar in src/a_b.py, then tokenizer Tokenizer").x
+    assert anchors == ["some-repo", "Foo.bar", "src/a_b.py", "tokenizer"]
+    error = lambda p, c: spark.range(1).select(submissions.faithfulness_error(F.lit(p), F.lit(c)).alias("x")).first().x
+    assert error("", "x") == "faithfulness_empty_prompt" and error("do it", "the tokenizer fails") == "faithfulness_no_context_anchor_in_prompt"
+    assert error("fix the Tokenizer", "the tokenizer fails") is None
+    assert error("fix the tokenizer in src/main.c", "the tokenizer fails") == "faithfulness_generic_build_hallucination"
+
+
 def test_messages(spark):
     parts = '[{"type":"reasoning","text":"why"},{"type":"text","text":"hi"},{"type":"tool_call","name":"bash","arguments":{"command":"ls"}}]'
     r = one(spark, messages.content_parts(F.col("t")).alias("c"), text=parts).c
