@@ -253,53 +253,35 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
     spans = materialize(docs.select("k1", "k2", "text").mapInArrow(find, "k1 long, k2 long, m long, s int, n int, c int"), "spans")
     # Written, so that the join has an exchange of its own, which AQE can split where a hash is hot.
     again = materialize(spans.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1").select("m"), "again")
-    wanted = spans.join(again.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n", F.lit(-1).alias("at"), F.col("m").alias("shared"))).alias("want"))
+    wanted = spans.join(again.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n")).alias("want"))
 
-    def cuts_of(wanted: DataFrame, level: int) -> DataFrame:
-        """The wanted regions, from level 1 on their parts. `at` and `shared` are what `halves` needs for more."""
-
-        def cut(stream) -> Iterator:
-            """A region's bytes come with its first occurrence in the task, its second only says so."""
-            import pyarrow as pa
-            import xxhash
-
-            seen: dict = {}
-            powers = Powers()
-            names = ["k1", "k2", "m", "r1", "r2", "s", "n", "at", "shared", "twice", "text"]
-            kinds = [pa.int64()] * 5 + [pa.int32()] * 3 + [pa.int64(), pa.bool_(), pa.binary()]
-            for batch in batches(stream, 512, 4_000_000):
-                out = []
-                for k1, k2, t, want in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "want")), strict=True):
-                    data = t.encode()
-                    for x in want:
-                        whole = data[x["s"] : x["s"] + x["n"] + length - 1]
-                        parts = halves(whole, x["m"], x["shared"], x["at"], level, length, k, powers) if level else [(x["m"], 0, x["n"], -1)]
-                        for m, s, n, at in parts:
-                            part = whole[s : s + n + length - 1]
-                            digest = xxhash.xxh3_128_intdigest(part)
-                            r1, r2 = (digest >> 64) - 2**63, (digest & MASK) - 2**63
-                            times = seen[m, digest] = seen.get((m, digest), 0) + 1
-                            out.append((k1, k2, m, r1, r2, x["s"] + s, n, at, x["shared"], times == 2, part if times == 1 else None))
-                if len(seen) > 500_000:
-                    seen.clear()  # what is met again is sent again
-                columns = list(zip(*out, strict=True)) or [[]] * 11
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+    def cut(stream) -> Iterator:
+        """A region's bytes come with its first occurrence in the task, its second only says so."""
+        import pyarrow as pa
+        import xxhash
 
-        kinds = "k1 long, k2 long, m long, r1 long, r2 long, s int, n int, at int, shared long, twice boolean, text binary"
-        return materialize(docs.join(wanted.hint("merge"), ["k1", "k2"]).mapInArrow(cut, kinds), "cuts")
+        seen: dict = {}
+        names = ["k1", "k2", "m", "r1", "r2", "s", "twice", "text"]
+        kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.binary()]
+        for batch in batches(stream, 512, 4_000_000):
+            out = []
+            for k1, k2, t, want in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "want")), strict=True):
+                data = t.encode()
+                for x in want:
+                    m, part = x["m"], data[x["s"] : x["s"] + x["n"] + length - 1]
+                    digest = xxhash.xxh3_128_intdigest(part)
+                    r1, r2 = (digest >> 64) - 2**63, (digest & MASK) - 2**63
+                    times = seen[m, digest] = seen.get((m, digest), 0) + 1
+                    out.append((k1, k2, m, r1, r2, x["s"], times == 2, part if times == 1 else None))
+            if len(seen) > 500_000:
+                seen.clear()  # what is met again is sent again
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    cuts = cuts_of(wanted, 0)
+    kinds = "k1 long, k2 long, m long, r1 long, r2 long, s int, twice boolean, text binary"
+    cuts = materialize(docs.join(wanted.hint("merge"), ["k1", "k2"]).mapInArrow(cut, kinds), "cuts")
     release(spans, again)
-    for level in range(1, (length - k).bit_length() + 1):
-        # Only rows of several texts make a group hot: one text needs no splitting, however long.
-        sizes = cuts.groupBy("m", "r1", "r2").agg((F.max("n") + length).cast("long").alias("n")).groupBy("m")
-        hot = materialize(sizes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).where((F.col("n") > BLOCK) & (F.col("texts") > 1)).select("m"), "hot")
-        if hot.isEmpty():
-            break
-        split = cuts.join(hot.hint("merge"), "m", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "s", "n", "at", "shared")).alias("want"))
-        finer = cuts_of(split, level)
-        rest, cuts = cuts, materialize(cuts.join(hot.hint("merge"), "m", "left_anti").unionByName(finer), "cuts")
-        release(rest, finer, hot)
+    texts, places, written = split_groups(cuts, length, k)
 
     def mark(stream) -> Iterator:
         import numpy as np
@@ -326,19 +308,70 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
                 held, many = hold.get((m, r1, r2), (None, 0))
                 if held is None and t is not None:
                     size += len(t)
-                hold[m, r1, r2] = (held if held is not None else t, many + 1)
+                hold[m, r1, r2] = (held if held is not None else t, many + 1 + twice)
         if hold:
             yield settle()
 
-    texts = cuts.where("text is not null or twice").select("m", "r1", "r2", "twice", "text")
-    ranges = texts.repartition("m").sortWithinPartitions("m").mapInArrow(mark, "m long, r1 long, r2 long, ranges array<struct<a:int,b:int>>")
+    ranges = texts.select("m", "r1", "r2", "twice", "text").repartition("m").sortWithinPartitions("m").mapInArrow(mark, "m long, r1 long, r2 long, ranges array<struct<a:int,b:int>>")
     ranges = materialize(ranges, "ranges")
-    hits = cuts.select("k1", "k2", "m", "r1", "r2", "s").join(ranges.hint("merge"), ["m", "r1", "r2"]).select("k1", "k2", "s", F.explode("ranges").alias("x"))
+    hits = places.join(ranges.hint("merge"), ["m", "r1", "r2"]).select("k1", "k2", "s", F.explode("ranges").alias("x"))
     hits = materialize(hits.select("k1", "k2", (F.col("s") + F.col("x.a")).alias("a"), (F.col("s") + F.col("x.b")).alias("b")), "hits")
-    release(cuts, ranges)
+    release(cuts, ranges, *written)
     return hits
 
 
+#: Groups that are named to every task when they are split; more are joined by a shuffle.
+NAMED = 100_000
+
+
+def split_groups(cuts: DataFrame, length: int, k: int) -> tuple[DataFrame, DataFrame, list]:
+    """(texts, places, tables to release): cuts with the groups larger than a block split.
+
+    texts: (m, r1, r2, twice, text, at, shared), the distinct regions of each group; places: (k1, k2, m, r1, r2, s),
+    where they stand. A split works on the distinct texts of the groups concerned alone, and the documents are not
+    read again.
+    """
+    texts = cuts.where("text is not null or twice").select("m", "r1", "r2", "twice", "text", F.lit(-1).alias("at"), F.col("m").alias("shared"))
+    places, written, done = cuts.select("k1", "k2", "m", "r1", "r2", "s"), [], []
+    for level in range(1, (length - k).bit_length() + 1):
+        # Only several texts make a group hot: one text needs no splitting, however long.
+        sizes = texts.groupBy("m", "r1", "r2").agg(F.max(F.octet_length("text")).cast("long").alias("n")).groupBy("m")
+        hot = materialize(sizes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).where((F.col("n") > BLOCK) & (F.col("texts") > 1)).select("m"), "hot")
+        written.append(hot)
+        many = hot.count()
+        if not many:
+            break
+        named = F.broadcast(hot) if many <= NAMED else hot.hint("merge")
+        done.append((texts.join(named, "m", "left_anti"), places.join(named, "m", "left_anti")))
+
+        def cut(stream, level=level) -> Iterator:
+            import pyarrow as pa
+            import xxhash
+
+            powers = Powers()
+            names = ["m", "r1", "r2", "off", "m2", "q1", "q2", "at", "shared", "twice", "text"]
+            kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+            for batch in batches(stream, 512, 4_000_000):
+                out = []
+                for m, r1, r2, whole, twice, at, shared in zip(*(batch.column(c).to_pylist() for c in ("m", "r1", "r2", "text", "twice", "at", "shared")), strict=True):
+                    for m2, off, n, at2 in halves(whole, m, shared, at, level, length, k, powers):
+                        part = whole[off : off + n + length - 1]
+                        digest = xxhash.xxh3_128_intdigest(part)
+                        out.append((m, r1, r2, off, m2, (digest >> 64) - 2**63, (digest & MASK) - 2**63, at2, shared, twice, part))
+                columns = list(zip(*out, strict=True)) or [[]] * 11
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+        whole = texts.join(named, "m", "left_semi").groupBy("m", "r1", "r2").agg(F.max("text").alias("text"), ((F.count(F.lit(1)) > 1) | F.bool_or("twice")).alias("twice"), F.max("at").alias("at"), F.max("shared").alias("shared"))
+        parts = materialize(whole.mapInArrow(cut, "m long, r1 long, r2 long, off int, m2 long, q1 long, q2 long, at int, shared long, twice boolean, text binary"), "parts")
+        texts = parts.select(F.col("m2").alias("m"), F.col("q1").alias("r1"), F.col("q2").alias("r2"), "twice", "text", "at", "shared")
+        moved = places.join(named, "m", "left_semi").join(parts.select("m", "r1", "r2", "off", "m2", "q1", "q2").hint("merge"), ["m", "r1", "r2"])
+        places = materialize(moved.select("k1", "k2", F.col("m2").alias("m"), F.col("q1").alias("r1"), F.col("q2").alias("r2"), (F.col("s") + F.col("off")).alias("s")), "places")
+        written += [parts, places]
+    for t, p in done:
+        texts, places = texts.unionByName(t), places.unionByName(p)
+    return texts, places, written
+
+
 def dedup_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256, repeats, removed_share and kept (the remaining bytes) of every row.
 

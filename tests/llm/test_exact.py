@@ -207,8 +207,8 @@ def test_run_index_marks_like_brute_force():
 @pytest.mark.parametrize("block", [3000, 40_000])
 def test_hot_groups_of_bytes_go_through_the_index(spark, monkeypatch, block):
     monkeypatch.setattr(runindex, "BLOCK", block)
-    made, write = {}, runindex.materialize
-    monkeypatch.setattr(runindex, "materialize", lambda df, name: made.setdefault(name, []).append(write(df, name)) or made[name][-1])
+    made, split = [], runindex.split_groups
+    monkeypatch.setattr(runindex, "split_groups", lambda *args: made.append(split(*args)) or made[-1])
     monkeypatch.setattr(runindex, "release", lambda *frames: None)
     r = random.Random(9)
     text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
@@ -219,7 +219,7 @@ def test_hot_groups_of_bytes_go_through_the_index(spark, monkeypatch, block):
     got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in runindex.dedup_bytes(df).collect()}
     assert got == dict(enumerate(brute_removal(texts, 400)))
     groups = {}
-    for x in made["cuts"][-1].where("text is not null").collect():
+    for x in made[-1][0].where("text is not null").collect():
         groups.setdefault(x.m, set()).add(bytes(x.text))
     assert all(len(g) == 1 or sum(map(len, g)) <= block for g in groups.values())
 
