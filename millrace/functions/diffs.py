@@ -6,12 +6,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Languages by file extension.
+#: Languages by file extension, and what marks a path as a test.
 LANGUAGES = {
-    "py": "python", "js": "javascript", "jsx": "javascript", "ts": "typescript", "tsx": "typescript", "go": "go", "rs": "rust", "java": "java",
-    "c": "c", "h": "c", "cc": "cpp", "cpp": "cpp", "cxx": "cpp", "hpp": "cpp", "rb": "ruby", "php": "php", "kt": "kotlin", "scala": "scala", "cs": "csharp", "swift": "swift",
+    "py": "python", "js": "js", "jsx": "js", "ts": "ts", "tsx": "ts", "go": "go", "rs": "rust", "java": "java", "php": "php", "rb": "ruby", "cs": "csharp",
+    "c": "c", "cc": "cpp", "cpp": "cpp", "cxx": "cpp", "h": "cpp", "hh": "cpp", "hpp": "cpp", "hxx": "cpp", "ipp": "cpp", "tpp": "cpp",
 }
-TEST_PATH = r"(^|/)(tests?|testing|__tests__|spec|specs)(/|$)|(^|/)test_[^/]*$|_test\.[^/.]+$|\.(test|spec)\.[^/.]+$"
+TEST_MARKS = ("tests/", "/test", "test_", "_test.", "fixture", "golden")
 
 
 def paths(diff: Column) -> Column:
@@ -46,7 +46,10 @@ def changed_lines(diff: Column) -> Column:
 
 
 def is_test_path(path: Column) -> Column:
-    return F.lower(path).rlike(TEST_PATH)
+    low, out = F.lower(path), F.lit(False)
+    for mark in TEST_MARKS:
+        out = out | low.contains(mark)
+    return out
 
 
 def source_paths(diff: Column) -> Column:
@@ -57,7 +60,7 @@ def source_paths(diff: Column) -> Column:
 def languages(diff: Column) -> Column:
     """Sorted languages of the files, by extension; other files have none."""
     table = F.create_map(*(F.lit(x) for pair in LANGUAGES.items() for x in pair))
-    names = F.transform(paths(diff), lambda p: F.element_at(table, F.lower(F.regexp_extract(p, r"\.([^./]+)$", 1))))
+    names = F.transform(paths(diff), lambda p: F.element_at(table, F.regexp_extract(p, r"\.([^./]+)$", 1)))
     return F.array_sort(F.array_distinct(F.array_compact(names)))
 
 
@@ -108,6 +111,10 @@ def _reverse(diff: str | None) -> str | None:
         elif line.startswith("+++ "):
             swap = lambda p, a, b: b + p[2:] if p.startswith(a) else p
             out += ["--- " + swap(line[4:], "b/", "a/"), "+++ " + swap(old, "a/", "b/")]
+        elif line.startswith("index ") and ".." in line:
+            settle()
+            ids, *rest = line[6:].split(" ")
+            out.append(" ".join(["index", "..".join(reversed(ids.split("..", 1))), *rest]))
         elif line.startswith("@@ "):
             settle()
             left, right, *rest = line[3:].split(" ", 2)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 
 SHELL_NAMES = ("bash", "execute_bash", "shell", "terminal", "run_command")
 SUBMIT_NAMES = ("submit", "finish", "complete", "task_complete")
-FENCE = re.compile(r"```(?:bash|sh|shell|console)\s*\n(.*?)```", re.S)
+#: Languages of a fence that may hold a command; none counts as well.
+FENCED = ("", "bash", "sh", "shell", "console")
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ FLAGS = tuple(f.name for f in fields(Adaptation))
 SYSTEM = "You solve tasks in a repository by running shell commands with the bash tool."
 STRICT = "Use the bash tool for every step and submit when the task is done.\n\n"
 FORMAT_ERROR = "Your last reply held no valid tool call. Call the bash tool."
-SUBMIT = "submit"
+SUBMIT = "echo COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT && cat patch.txt"
 THINK_TAGS = re.compile(r"</?think>")
 
 
@@ -96,23 +97,32 @@ def native_command(name: str, arguments, submit: str) -> str | None:
     return edit_command(a) if name == "str_replace_editor" else None
 
 
+def fenced_command(text: str) -> str | None:
+    """The command in a text's first fence, if that is of a shell or of nothing and holds one line."""
+    blocks = text.split("```")
+    if len(blocks) < 3:
+        return None
+    language, line_end, body = blocks[1].partition("\n")
+    body = (body if line_end else language).strip()
+    allowed = not line_end or language.strip().lower() in FENCED
+    return body if allowed and body and "\n" not in body else None
+
+
 def turn_commands(m: dict) -> tuple[str, str, list[str]]:
-    """(kind, text left beside the commands, commands) of an assistant message: native calls, else a JSON object with
-    commands, else a single fenced line."""
+    """(kind, text left beside the commands, commands) of an assistant message: native calls, else the last JSON object with
+    commands, which submits only if it has none and says that the task is complete, else the first fence's line."""
     text = m.get("content") or ""
     found = [c for c in (native_command(x["function"]["name"], x["function"]["arguments"], SUBMIT) for x in m.get("tool_calls") or []) if c]
     if found:
         return "native", text, found
-    for value in reversed(json_objects(text)):
-        if isinstance(value.get("commands"), list):
-            found = [str(c.get("keystrokes", "") if isinstance(c, dict) else c).rstrip("\n") for c in value["commands"]]
-            found = [c for c in found if c] + ([SUBMIT] if value.get("task_complete") else [])
-            if found:
-                return "json", "\n".join(str(value[k]) for k in ("analysis", "plan") if value.get(k)), found
-    blocks = FENCE.findall(text)
-    if len(blocks) == 1 and blocks[0].strip() and "\n" not in blocks[0].strip():
-        return "fenced", FENCE.sub("", text).strip(), [blocks[0].strip()]
-    return "none", text, []
+    value = next((v for v in reversed(json_objects(text)) if isinstance(v, dict) and isinstance(v.get("commands"), list)), None)
+    if value is not None:
+        found = [c for x in value["commands"] if isinstance(x, dict) and (c := str(x.get("keystrokes") or "").rstrip())]
+        found = found or ([SUBMIT] if value.get("task_complete") is True else [])
+        if found:
+            return "json", "\n\n".join(x for k in ("analysis", "plan") if (x := str(value.get(k) or "").strip())), found
+    command = fenced_command(text)
+    return ("fenced", text, [command]) if command else ("none", text, [])
 
 
 def split_calls(messages: list[dict]) -> list[dict] | None:
@@ -171,7 +181,7 @@ def adapt(messages: list[dict], how: Adaptation) -> tuple[list[dict] | None, dic
             turn["reasoning_content"] = said
         out.append(turn)
     told = [c["function"]["arguments"] for m in out for c in m.get("tool_calls") or []]
-    if how.submit and not any(SUBMIT in a.lower() for a in told):
+    if how.submit and not any("complete_task_and_submit_final_output" in a.lower() for a in told):
         return None, n | {"dropped_no_submit": 1}
     if how.single:
         n["split_turns"] = sum(len(m.get("tool_calls") or []) > 1 for m in out)

@@ -5,33 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.messages import ROLES, normalize_role
 from millrace.session import table
 
-#: Role names and what they normalize to.
-ROLES = {
-    "system": "system",
-    "developer": "system",
-    "user": "user",
-    "human": "user",
-    "assistant": "assistant",
-    "ai": "assistant",
-    "bot": "assistant",
-    "gpt": "assistant",
-    "model": "assistant",
-    "tool": "tool",
-    "function": "tool",
-    "toolresult": "tool",
-    "tool_result": "tool",
-    "environment": "tool",
-    "observation": "tool",
-}
-
-
-def normalize_role(col):
-    """The normal name of a role, or null where the message must be dropped."""
-    pairs = [F.lit(x) for pair in ROLES.items() for x in pair]
-    return F.element_at(F.create_map(*pairs), F.lower(F.trim(col)))
-
 
 def conversation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per conversation: turn counts, characters, and every reason for which a gate would reject it."""

@@ -78,10 +78,10 @@ def trainer_views(spark, d):
 
 
 @plan(f"""WITH {TURNS}, n AS (SELECT *, lead(role) OVER w AS next_role, lead(length(text) % 3) OVER w AS code FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-  SELECT conv_id, count(*) FILTER (role = 'assistant' AND next_role IN ('user', 'tool') AND code <> 0) AS n_masked FROM n GROUP BY 1""")
+  SELECT conv_id, count(*) FILTER (role = 'assistant' AND next_role = 'user' AND code <> 0) AS n_masked FROM n GROUP BY 1""")
 def failed_turn_masks(spark, d):
     """A turn's length modulo 3 is its return code."""
-    coded = F.transform("messages", lambda m: m.withField("content", F.concat(F.lit("<returncode>"), (F.length(m["content"]) % 3).cast("string"), F.lit("</returncode>"))))
+    coded = F.transform("messages", lambda m: m.withField("content", F.concat(F.lit("<tool_response>\n<returncode> 0"), (F.length(m["content"]) % 3).cast("string"), F.lit("</returncode>\n</tool_response>"))))
     rows = traces(spark, d).withColumn("messages", coded)
     return rows.select("conv_id", F.size(F.filter(M.mask_failed_turns(F.col("messages")), lambda m: m["loss"] == F.lit(False))).cast("long").alias("n_masked"))
 
@@ -166,7 +166,7 @@ def long_sequence_dedup(spark, d):
     return dedup.long_sequences(a, "digest", "n", "c", [F.asc("conv_id")], 2, 500).select("conv_id", "digest")
 
 
-@plan("""SELECT conv_id, turn, CASE WHEN starts_with(text, '<think>') THEN text WHEN turn % 2 = 0 THEN '<think>' || chr(10) || left(text, 5) || chr(10) || '</think>' || chr(10) || text ELSE '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || text END AS merged FROM conversations""")
+@plan("""SELECT conv_id, turn, CASE WHEN turn % 2 <> 0 AND starts_with(ltrim(text), '<think>') THEN text WHEN turn % 2 = 0 THEN '<think>' || chr(10) || trim(left(text, 5)) || chr(10) || '</think>' || chr(10) || text ELSE '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || text END AS merged FROM conversations""")
 def merged_thinking(spark, d):
     t = T(spark, d, "conversations")
     return t.select("conv_id", "turn", M.merge_thinking(F.when(F.col("turn") % 2 == 0, F.left("text", F.lit(5))), F.col("text")).alias("merged"))

@@ -82,6 +82,9 @@ def test_messages(spark):
     assert r.text == "hi" and r.reasoning == "why" and r.tool_calls[0].function.name == "bash"
     assert one(spark, messages.merge_thinking(F.lit("r"), F.lit("")).alias("m")).m == "<think>\nr\n</think>"
     assert one(spark, messages.merge_thinking(F.lit(None).cast("string"), F.lit("<think>x")).alias("m")).m == "<think>x"
+    assert one(spark, messages.merge_thinking(F.lit(None).cast("string"), F.lit("\n<think>a</think>x")).alias("m")).m == "\n<think>a</think>x"
+    assert one(spark, messages.content_parts(F.col("t")).alias("c"), text='[{"type":"image","url":"u"},{"type":"text","text":"hi"}]').c.text == "hi"
+    assert one(spark, messages.content_parts(F.col("t")).alias("c"), text='{"content":"c","value":"v"}').c.text == "c"
     calls = one(spark, messages.normalize_calls(F.lit('{"name":"f","arguments":"{}"}')).alias("m"), messages.normalize_calls(F.lit('[{"function":{"name":"","arguments":"{}"}}]')).alias("n"))
     assert calls.m[0].function.name == "f" and calls.n == []
 
@@ -95,8 +98,10 @@ def test_raw_messages_normalize(spark):
 def test_adapter_kinds():
     call = {"function": {"name": "str_replace_editor", "arguments": '{"command":"view","path":"a.py","view_range":[1,3]}'}}
     assert adapters.turn_commands({"tool_calls": [call]})[2] == ["sed -n '1,3p' a.py"]
-    assert adapters.turn_commands({"content": 'x {"plan":"p","commands":[{"keystrokes":"ls\\n"}],"task_complete":true}'}) == ("json", "p", ["ls", "submit"])
-    assert adapters.turn_commands({"content": "so ```bash\nls\n```"}) == ("fenced", "so", ["ls"])
+    assert adapters.turn_commands({"content": 'x {"plan":"p","commands":[{"keystrokes":"ls\\n"}],"task_complete":true}'}) == ("json", "p", ["ls"])
+    assert adapters.turn_commands({"content": '{"commands":[],"task_complete":true}'})[2] == [adapters.SUBMIT]
+    assert adapters.turn_commands({"content": "so ```bash\nls\n```"})[2] == ["ls"] and adapters.turn_commands({"content": "```\nls\n``` or ```\npwd\n```"})[2] == ["ls"]
+    assert adapters.turn_commands({"content": "```python\nls\n```"})[0] == "none"
 
 
 def test_adapter_flags():
@@ -105,7 +110,7 @@ def test_adapter_flags():
     with pytest.raises(ValueError, match="unknown"):
         a.parse("bash_tool_other")
     assert a.adapt([{"role": "assistant", "content": "no"}], a.parse("bash_tool"))[0] is None
-    trace = [{"role": "user", "content": "do"}, {"role": "assistant", "content": '{"plan":"p","commands":["a","b"]}'}, {"role": "user", "content": "$ a\none\n$ b\ntwo"}]
+    trace = [{"role": "user", "content": "do"}, {"role": "assistant", "content": '{"plan":"p","commands":[{"keystrokes":"a"},{"keystrokes":"b"}]}'}, {"role": "user", "content": "$ a\none\n$ b\ntwo"}]
     out, n = a.adapt(trace, a.parse("bash_tool_toolobs_single"))
     assert [m["role"] for m in out] == ["system", "user", "assistant", "tool", "assistant", "tool"] and n["split_turns"] == 1 and out[3]["content"] == "one"
     assert a.adapt(trace, a.parse("bash_tool_submit"))[1]["dropped_no_submit"] == 1
