@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import conversations, curation, relational, textual, traces
+from millrace.plans import conversations, curation, reading, relational, textual, traces
 
-MODULES = (conversations, curation, relational, textual, traces)
+MODULES = (conversations, curation, reading, relational, textual, traces)
 
 
 def queries() -> dict:

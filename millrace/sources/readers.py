@@ -12,16 +12,73 @@ EVENT_TYPES = ("session", "message", "model_change", "thinking_level_change")
 
 
 def lines(spark: SparkSession, path: str, glob: str = "*.jsonl*", recursive: bool = True) -> DataFrame:
-    """(file, value) of every line of the files; .zst and .gz are read by their suffix."""
-    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
-    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    """(file, block, value) of every line of the files, in order of (file, block) and, within a block, of the rows.
+
+    Plain files are split; .gz ones are read by Spark as a whole; those that end in .zst are decompressed by the tasks as a
+    stream, one file a row, so a compressed file must fit in memory, its text need not.
+    """
+    opened = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
+    file, start = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    plain = opened.text(path).where(~F.col("_metadata.file_path").endswith(".zst")).select(file, start, "value")
+    packed = opened.format("binaryFile").load(path).where(F.col("path").endswith(".zst")).select(F.col("path").alias("file"), "content")
+
+    def unpack(stream):
+        import io
+
+        import pyarrow as pa
+        import zstandard
+
+        for batch in stream:
+            for name, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
+                reader = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content.as_py()), read_across_frames=True)
+                text, held, size, block = io.TextIOWrapper(reader, encoding="utf-8"), [], 0, 0
+                for line in text:
+                    held.append(line.rstrip("\r\n"))
+                    size += len(line)
+                    if size > 1_000_000:
+                        yield pa.RecordBatch.from_pydict({"file": [name] * len(held), "block": [block] * len(held), "value": held}, schema=kinds)
+                        held, size, block = [], 0, block + 1
+                yield pa.RecordBatch.from_pydict({"file": [name] * len(held), "block": [block] * len(held), "value": held}, schema=kinds)
+
+    import pyarrow as pa
+
+    kinds = pa.schema([("file", pa.string()), ("block", pa.int64()), ("value", pa.string())])
+    return plain.unionByName(packed.mapInArrow(unpack, "file string, block long, value string"))
 
 
 def numbered_lines(spark: SparkSession, path: str, glob: str = "*.jsonl*") -> DataFrame:
-    """(file, line, value), lines from 0. Each file comes whole, so files are the parallelism."""
-    whole = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True)
-    cut = F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("line", "value")
-    return whole.select(F.col("_metadata.file_path").alias("file"), cut)
+    """(file, line, value), lines from 0. Blocks of a file are read by several tasks; one sorts a file's lines."""
+    rows = lines(spark, path, glob).withColumn("_n", F.monotonically_increasing_id())
+    n = F.row_number().over(Window.partitionBy("file").orderBy("block", "_n")) - 1
+    return rows.select("file", n.alias("line"), "value")
+
+
+def normalized_examples(spark: SparkSession, path: str, per_file: int = 0, glob: str = "*.jsonl*") -> DataFrame:
+    """(file, line, example) of every row of JSONL files that holds something to learn; example is JSON text.
+
+    Messages come from the first of messages, conversations, conversation and trajectory that is a list, else a question
+    and its answer make two. Bad lines and rows without an assistant target go; at most per_file lines of a file are
+    read where that is not 0. Event logs have a reader of their own, `event_logs`, and their files give nothing here.
+    """
+    from millrace.functions.examples import normalized
+
+    rows = numbered_lines(spark, path, glob).where(F.trim("value") != "")
+    if per_file:
+        rows = rows.where(F.col("line") < per_file)
+    first = F.first(F.get_json_object("value", "$.type")).over(Window.partitionBy("file").orderBy("line"))
+    rows = rows.withColumn("_first", first).where(F.col("_first").isNull() | ~F.col("_first").isin(*EVENT_TYPES))
+    return rows.select("file", "line", normalized(F.col("value")).alias("example")).where("example is not null")
+
+
+def text_set(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the distinct lines of a text file, blank ones aside; a missing file has none."""
+    try:
+        rows = spark.read.text(path)
+    except Exception as e:  # the path does not exist in its store
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "value string")
+    return rows.select(F.trim("value").alias("value")).where("value <> ''").distinct()
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False, glob: str = "*.jsonl*") -> DataFrame:

@@ -227,6 +227,23 @@ def test_readers_and_writers(spark, tmp_path):
     assert writers.next_name(names, "f", "p", "zst").first().name == "p-00004.zst"
 
 
+def test_zstd_lines_and_examples(spark, tmp_path):
+    import zstandard
+
+    raw = [{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": [{"type": "reasoning", "text": "why"}, {"type": "tool_call", "name": "bash", "arguments": {"command": "ls"}}]}, {"role": "exit", "content": "bye"}], "passed": True},
+           {"question": "2+2?", "context": "sums", "answer": "4"}, {"messages": [{"role": "user", "content": "only"}]}, {"messages": "not a list"}]
+    body = "\n".join([*map(json.dumps, raw), "broken", "", ""])
+    (tmp_path / "a.jsonl.zst").write_bytes(zstandard.ZstdCompressor().compress(body.encode()))
+    (tmp_path / "log.jsonl").write_text('{"type":"session"}\n{"type":"message","message":{"role":"user","content":"hi"}}\n')
+    assert [(r.line, r.value) for r in readers.numbered_lines(spark, str(tmp_path)).where("file like '%zst'").orderBy("line").collect()] == list(enumerate(body.split("\n")[:-1]))
+    got = [(r.line, json.loads(r.example)) for r in readers.normalized_examples(spark, str(tmp_path)).orderBy("line").collect()]
+    assert [line for line, _ in got] == [0, 1] and got[0][1]["passed"] is True
+    assert got[0][1]["messages"] == [{"role": "user", "content": "q"}, {"role": "assistant", "content": "<think>\nwhy\n</think>", "tool_calls": [{"function": {"name": "bash", "arguments": {"command": "ls"}}}]}]
+    assert got[1][1]["messages"] == [{"role": "user", "content": "2+2?\n\nsums"}, {"role": "assistant", "content": "<think>\n\n</think>\n4"}]
+    assert readers.normalized_examples(spark, str(tmp_path), per_file=1).count() == 1
+    assert readers.text_set(spark, str(tmp_path / "missing.txt")).count() == 0
+
+
 def test_sqlite_source(spark, tmp_path):
     import sqlite3
 
