@@ -18,6 +18,15 @@ KEPT_KEYS = (
     "passed", "pass", "resolved", "source_outcome", "metadata", "uuid", "task_id", "teacher", "language", "difficulty", "source", "source_note", "model_patch", "model_patch_bytes", "patch_bytes",
     "original_model_patch_bytes",
 )
+# Where a row keeps a fact that it does not have itself, in order.
+NESTED_KEYS = ("source_outcome", "metadata")
+# Facts that a published row carries from its source; uuid becomes source_uuid.
+PUBLISHED_KEYS = (
+    "reward", "source", "source_note", "uuid", "task_id", "source_shard", "source_row_index", "row_source", "source_group", "language", "teacher", "difficulty", "agent_exit_status", "model_patch_bytes",
+    "percent_messages_with_reasoning", "api_calls", "assistant_message_count", "trajectory_bytes", "trajectory_chars", "recommended_for_compaction_training", "quality_rule_version", "quality_flags",
+    "failure_class", "compaction_original_row_id", "compaction_original_row_path", "prompt_repair_source_raw_compacted_uuid", "prompt_repair_source_firstturn_uuid", "prompt_repair_v4_uuid",
+    "verification_modification_family", "verification_source_uuid", "verification_original_row_uuid",
+)
 
 
 def _think(reasoning, content) -> str:
@@ -99,3 +108,30 @@ def normalized(row: Column) -> Column:
         return batch.map(one)
 
     return F.pandas_udf(run, "string")(row)
+
+
+def source_fact(row: Column, key: str) -> Column:
+    """A fact of a row given as a variant: its own key, else one in its outcome, else one in its metadata; null if none has it.
+
+    The first that has the key decides, even with a JSON null.
+    """
+    return F.coalesce(*(F.try_variant_get(row, f"$.{p}", "variant") for p in (key, *(f"{n}.{key}" for n in NESTED_KEYS))))
+
+
+def published_row(row: Column, keys: tuple[str, ...] | list[str] = PUBLISHED_KEYS) -> list[Column]:
+    """Flat columns of a published row, from an example as JSON text: passed as a truth value, messages and tools as
+    JSON, the other facts as text, uuid as source_uuid. Empty facts are null: JSON nulls, "", [] and {}. Where the
+    text is null or no JSON all columns are. Dataset, view, shard and numbers are the caller's columns."""
+    v = F.try_parse_json(row)
+
+    def kept(value: Column, out: Column) -> Column:
+        return F.when(~F.to_json(value).isin("null", '""', "[]", "{}"), out)
+
+    passed = F.to_json(source_fact(v, "passed"))
+    truth = passed.isNotNull() & ~passed.isin("null", "false", '""', "[]", "{}") & F.coalesce(passed.try_cast("double") != 0, F.lit(True))
+    tools = F.try_variant_get(v, "$.tools", "variant")
+    facts = {("source_uuid" if k == "uuid" else k): source_fact(v, k) for k in keys}
+    return [
+        F.get_json_object(row, "$.messages").alias("messages"), F.when(v.isNotNull(), truth).alias("passed"), kept(tools, F.get_json_object(row, "$.tools")).alias("tools"),
+        *(kept(f, F.try_variant_get(f, "$", "string")).alias(k) for k, f in facts.items()),
+    ]

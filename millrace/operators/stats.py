@@ -114,6 +114,24 @@ def score_summary(df: DataFrame, trial: str, solved: Column) -> DataFrame:
     return rates.agg(F.avg("_r").alias("mean"), F.min("_r").alias("least"), F.max("_r").alias("greatest"), F.stddev_pop("_r").alias("deviation"))
 
 
+def outcome_vectors(tasks: DataFrame, runs: DataFrame, task: str, run: str, solved: str, full: list, partial: list) -> DataFrame:
+    """(run, task, solved) of every task under each named run: 1.0 or 0.0, and for tasks that a run lacks 0.0 in full runs and null in partial ones.
+
+    runs holds one row per run and task at most; other runs and unknown tasks are passed over. A null outcome is
+    an unsolved one.
+    """
+    names = F.explode(F.array(*(F.struct(F.lit(r).alias(run), F.lit(r in full).alias("_full")) for r in [*full, *partial]))).alias("_r")
+    wanted = tasks.select(task, names).select(task, "_r.*")
+    known = runs.select(task, run, F.coalesce(F.col(solved).cast("double"), F.lit(0.0)).alias("_s"))
+    return wanted.join(known, [task, run], "left").select(run, task, F.coalesce("_s", F.when(F.col("_full"), 0.0)).alias(solved))
+
+
+def run_coverage(vectors: DataFrame, runs: DataFrame, task: str, run: str, solved: str) -> DataFrame:
+    """Per run of `outcome_vectors`: tasks that the run covers and the mean of its vector over the tasks that have a value."""
+    covered = runs.select(task, run, F.lit(1).alias("_c"))
+    return vectors.join(covered, [task, run], "left").groupBy(run).agg(F.count("_c").alias("coverage"), F.avg(solved).alias("score"))
+
+
 def subset_search(matrix, quotas: dict, strata: list, size: int, rounds: int = 2_000, seed: int = 7):
     """Columns of a model-by-task matrix whose row means come closest to the whole's, with quotas per stratum.
 

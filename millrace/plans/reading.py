@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.examples import published_row
 from millrace.plans.registering import Plans
 from millrace.session import shared_folder
 from millrace.session import table as T
@@ -61,3 +62,16 @@ def normalized_conversations(spark, d):
     asked = F.aggregate(F.filter("m", lambda x: x["role"] == "user"), F.lit(0).cast("long"), lambda a, x: a + F.length(x["content"]))
     rows = got.select(F.get_json_object("example", "$.task_id").cast("long").alias("conv_id"), m.alias("m")).select("conv_id", n("user").alias("n_user"), n("assistant").alias("n_assistant"), asked.alias("n_asked"))
     return rows.withColumn("n_asked", F.when(F.col("n_user") > 0, F.col("n_asked")))
+
+
+@plan("""SELECT o_orderkey, '[{"role":"user","content":"' || o_orderpriority || '"}]' AS messages, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus = 'F' WHEN o_orderkey % 3 <> 0 THEN o_orderstatus = 'O' ELSE false END AS passed,
+  CASE WHEN o_orderkey % 7 = 0 THEN '[{"name":"bash"}]' END AS tools, 'm-' || o_custkey AS source_uuid, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS language, CASE WHEN o_orderkey % 5 <> 0 THEN 'web' END AS source FROM orders""")
+def published_rows(spark, d):
+    """Orders as examples whose facts lie in the row, its outcome or its metadata."""
+    k, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    example = F.struct(
+        F.array(F.struct(F.lit("user").alias("role"), F.col("o_orderpriority").alias("content"))).alias("messages"), F.when(k % 2 == 0, status == "F").alias("passed"),
+        F.when(k % 7 == 0, F.array(F.struct(F.lit("bash").alias("name")))).otherwise(F.array()).alias("tools"),
+        F.when(k % 3 != 0, F.struct((status == "O").alias("passed"), F.col("o_orderpriority").alias("language"))).alias("source_outcome"),
+        F.struct(F.concat(F.lit("m-"), "o_custkey").alias("uuid"), F.when(k % 5 == 0, "").otherwise("web").alias("source")).alias("metadata"))
+    return T(spark, d, "orders").select("o_orderkey", *published_row(F.to_json(example), ["uuid", "language", "source"]))

@@ -405,3 +405,25 @@ def disjunctive_dedup(spark, d):
     """Rows that share either of two keys with an earlier kept row go."""
     o = T(spark, d, "orders").select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey") % 200).alias("c"), F.concat(F.lit("d"), F.dayofyear("o_orderdate")).alias("d"))
     return dedup.conflict_free(o.withColumn("keys", F.array("c", "d")), "o_orderkey", "keys").select("o_orderkey", "c", "d")
+
+
+OUTCOMES = """WITH t AS (SELECT p_partkey FROM part), l AS (SELECT l_partkey AS p_partkey, l_returnflag AS run, max(l_quantity) > 40 AS solved FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY ALL),
+  v AS (SELECT r.run, t.p_partkey, l.solved IS NOT NULL AS has, CASE WHEN l.solved THEN 1.0 WHEN l.solved IS NOT NULL OR r.run <> 'N' THEN 0.0 END::DOUBLE AS solved
+    FROM t CROSS JOIN (VALUES ('A'), ('R'), ('N')) r(run) LEFT JOIN l ON l.run = r.run AND l.p_partkey = t.p_partkey) """
+
+
+def _outcomes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Parts as tasks and return flags as runs; N is a run that did not try every task."""
+    runs = T(spark, d, "lineitem").where("l_orderkey % 3 = 0").groupBy(F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("run")).agg((F.max("l_quantity") > 40).alias("solved"))
+    return runs, stats.outcome_vectors(T(spark, d, "part"), runs, "p_partkey", "run", "solved", ["A", "R"], ["N"])
+
+
+@plan(OUTCOMES + "SELECT run, p_partkey, solved FROM v")
+def outcome_vectors(spark, d):
+    return _outcomes(spark, d)[1]
+
+
+@plan(OUTCOMES + "SELECT run, count(*) FILTER (has) AS coverage, avg(solved) AS score FROM v GROUP BY run")
+def run_coverage(spark, d):
+    runs, vectors = _outcomes(spark, d)
+    return stats.run_coverage(vectors, runs, "p_partkey", "run", "solved")

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import coerce, diffs, messages, submissions, texts
+from millrace.functions import coerce, diffs, examples, messages, submissions, texts
 from millrace.operators import adapters
 
 PATCH = "diff --git a/src/a.py b/src/a.py\n--- a/src/a.py\n+++ b/src/a.py\n@@ -1,2 +1,3 @@ def f\n-old\n+new\n+more\n same\ndiff --git a/tests/test_a.py b/tests/test_a.py\n--- a/tests/test_a.py\n+++ b/tests/test_a.py\n@@ -1 +1 @@\n-x\n+y"
@@ -117,3 +117,16 @@ def test_adapter_flags():
     first = a.adapt(trace, a.parse("bash_tool_recovery_strict_toolobs_toolonly_emptythink"))[0]
     assert [m["role"] for m in first] == ["system", "user", "user", "assistant"] and first[3]["content"] == "" and first[3]["reasoning_content"] == "\n" and first[1]["content"].startswith(a.STRICT)
     assert a.adapt(trace, a.parse("bash_tool_reasoning"))[0][2]["reasoning_content"] == "p"
+
+
+def test_published_rows_look_in_the_outcome_and_the_metadata(spark):
+    rows = [
+        '{"messages":[{"role":"user"}],"passed":true,"uuid":"u","reward":1.5,"language":"","metadata":{"language":"go"}}',
+        '{"source_outcome":{"passed":1,"language":"c"},"metadata":{"passed":false,"language":"d"},"tools":[]}',
+        '{"passed":null,"source_outcome":{"passed":true},"metadata":"text","reward":0}', '{"passed":"false"}', '{"passed":0.0}', "bad", None,
+    ]
+    got = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, r string").select("i", *examples.published_row(F.col("r"), ["uuid", "reward", "language"])).orderBy("i").drop("i")
+    assert [tuple(r) for r in got.collect()] == [
+        ('[{"role":"user"}]', True, None, "u", "1.5", None), (None, True, None, None, None, "c"), (None, False, None, None, "0", None),
+        (None, True, None, None, None, None), (None, False, None, None, None, None), (None,) * 6, (None,) * 6,
+    ]

@@ -263,3 +263,11 @@ def test_stream_equals_batch(spark, data, tmp_path):
     streamed = {(r.start, r.event_type): r.n for r in spark.table("tumbling").collect()}
     batch = {(r.start, r.event_type): r.n for r in E.tumbling(spark.read.parquet(str(src)).withColumn("ts", F.col("ts").cast("timestamp"))).collect()}
     assert streamed == batch
+
+
+def test_outcome_vectors_fill_full_runs_only(spark):
+    tasks = spark.createDataFrame([("a",), ("b",), ("c",)], "t string")
+    runs = spark.createDataFrame([("a", "x", True), ("b", "x", None), ("a", "y", True), ("z", "y", True), ("a", "other", True)], "t string, r string, ok boolean")
+    v = stats.outcome_vectors(tasks, runs, "t", "r", "ok", ["x"], ["y", "none"])
+    assert sorted(map(tuple, v.collect()), key=repr) == sorted([("x", "a", 1.0), ("x", "b", 0.0), ("x", "c", 0.0), ("y", "a", 1.0), ("y", "b", None), ("y", "c", None), *(("none", t, None) for t in "abc")], key=repr)
+    assert sorted(map(tuple, stats.run_coverage(v, runs, "t", "r", "ok").collect()), key=repr) == [("none", 0, None), ("x", 2, 1 / 3), ("y", 1, 1.0)]
