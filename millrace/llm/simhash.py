@@ -184,7 +184,8 @@ def links(nodes: DataFrame, radius: int = 3, meetings: int = 0, least: tuple[int
     radius. Edges join what links join; they are links themselves.
 
     least: a fraction (num, den); links must also have that Jaccard similarity, recounted on sets. Nodes then have
-    a size, and sets makes a table (id, shingles) for a table of ids: only nodes that meet another need them.
+    a size, and sets makes a table (id, shingles) for a table of ids: only nodes that meet another need them. Of
+    buckets that hold the same nodes one is compared, for the sets are carried to every bucket.
     """
     blocks = radius + 1
     width = -(-BITS // blocks)
@@ -193,7 +194,11 @@ def links(nodes: DataFrame, radius: int = 3, meetings: int = 0, least: tuple[int
     # Parts: 1 for nearly every bucket. Their number comes from a count per bucket, combined before the shuffle.
     rows = F.count(F.lit(1))
     parts = F.greatest(F.ceil(rows / SPLIT_SETS), F.ceil(F.sum("size") / SPLIT_SHINGLES)) if least else F.ceil(rows / SPLIT)
-    counts = keyed.groupBy("block", "value").agg(rows.alias("n"), parts.cast("int").alias("parts")).where("n > 1")
+    alike = [F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)] if least else []
+    counts = keyed.groupBy("block", "value").agg(rows.alias("n"), parts.cast("int").alias("parts"), *alike).where("n > 1")
+    if least:
+        # Buckets of the same nodes (as many, with the same 128 bits of hashes) would only be compared again: one stays.
+        counts = counts.groupBy("n", "parts", "x1", "x2").agg(F.min(F.struct("block", "value")).alias("b")).select("b.*", "parts")
     keyed = keyed.join(counts, ["block", "value"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int"))
     # A part meets every part of its bucket: the task (low, high) holds the rows of both.
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))

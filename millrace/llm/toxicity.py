@@ -134,20 +134,21 @@ def traits(bags: list) -> Iterator[tuple[str, list, object, object, object]]:
     import numpy as np
 
     vocabulary: dict = {}
-    word = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for bag in bags for w in bag), np.int64)
-    text = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
+    word = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for bag in bags for w in bag), np.int32)
+    text = np.repeat(np.arange(len(bags), dtype=np.int32), [len(bag) for bag in bags])
     names = list(vocabulary)
     hits = np.bincount(text[np.fromiter((w in COUNTED for w in names), bool, len(names))[word]], minlength=len(bags))
     some = np.flatnonzero(hits)
-    yield "#", ["lexicons"], some, np.zeros(len(some), np.int64), np.minimum(hits[some], 8)
+    yield "#", ["lexicons"], some.astype(np.int32), np.zeros(len(some), np.int32), np.minimum(hits[some], 8).astype(np.int8)
     del vocabulary
-    yield "=", names, text, word, np.ones(len(word), np.int64)
+    yield "=", names, text, word, np.ones(len(word), np.int8)
     for n in PREFIXES:
         heads: dict = {}
         head = np.fromiter((heads.setdefault(w[:n], len(heads)) if len(w) >= n else -1 for w in names), np.int64, len(names))[word]
-        has = head >= 0
-        pair, count = np.unique(text[has] * max(1, len(heads)) + head[has], return_counts=True)
-        yield "", list(heads), pair // max(1, len(heads)), pair % max(1, len(heads)), np.minimum(count, 8)
+        has, size = head >= 0, max(1, len(heads))
+        pair, count = np.unique(text[has] * size + head[has], return_counts=True)
+        del head, has
+        yield "", list(heads), (pair // size).astype(np.int32), (pair % size).astype(np.int32), np.minimum(count, 8).astype(np.int8)
 
 
 def fit(sample: list) -> tuple[dict, float]:
@@ -166,12 +167,14 @@ def fit(sample: list) -> tuple[dict, float]:
         gain = np.where(c0 + c1 >= SUPPORT, np.abs(odds) * np.sqrt(c1 + 0.02 * c0), 0)
         top = np.argsort(-gain, kind="stable")[:FEATURES]
         top = top[gain[top] > 0]
-        at = np.full(len(names), -1)
+        at = np.full(len(names), -1, np.int32)
         at[top] = np.arange(len(found), len(found) + len(top))
         found += [(float(gain[i]), mark + names[i], float(odds[i]), float(c1[i])) for i in top.tolist()]
         own = at[feature] >= 0
-        cells.append(np.stack([text[own], at[feature[own]], count[own]]))
-    rows, cols, values = np.concatenate(cells, axis=1)
+        cells.append((text[own], at[feature[own]], count[own]))
+        del text, feature, count, own
+    rows, cols, values = (np.concatenate([c[i] for c in cells]) for i in range(3))
+    del cells
     order = sorted(range(len(found)), key=lambda i: (-found[i][0], found[i][1]))
     chosen, mined = order[:FEATURES], [i for i in order if found[i][2] > 2.5 and found[i][3] >= SUPPORT][:MINED_TERMS]
     # Mined lexicons, dealt out so that every voter has frequent and rare terms.
@@ -185,10 +188,11 @@ def fit(sample: list) -> tuple[dict, float]:
     none, two = np.where(lexical.sum(1) == 0, -1, 0), np.where(lexical.sum(1) >= 2, 1, 0)
     votes = np.column_stack([lexical, shown, none, two, np.where(told > 0, np.where(labels > 0.5, 1, -1), 0)])
     target, _, _ = label_model(votes, known=votes.shape[1] - 1)
-    at = np.full(len(found) + 1, -1)
+    at = np.full(len(found) + 1, -1, np.int32)
     at[chosen] = np.arange(len(chosen))
     own = at[cols] >= 0
-    w, b = logistic(rows[own], at[cols[own]], values[own], n, len(chosen), target)
+    rows, cols, values = rows[own], at[cols[own]], values[own]
+    w, b = logistic(rows, cols, values, n, len(chosen), target)
     return {found[i][1]: float(x) for i, x in zip(chosen, w, strict=True) if x}, float(b)
 
 
@@ -224,7 +228,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if len({y for *_, y in rows} - {-1}) < 2:
         return fallback()
     one: dict = {}  # each distinct word is held once
-    return fit([([one.setdefault(w, w) for w in words.split()], hits, None if y < 0 else y) for _, words, hits, y in rows])
+    bags: list = []
+    rows.reverse()
+    while rows:  # a row's text goes when it is split
+        _, words, hits, y = rows.pop()
+        bags.append(([one.setdefault(w, w) for w in words.split()], hits, None if y < 0 else y))
+    return fit(bags)
 
 
 def held_out(key: str = "doc_id"):

@@ -166,6 +166,23 @@ def test_near_copies_are_those_of_similarity_0_8(spark, monkeypatch, split):
     assert corpus_pipeline.drop_near_copies(spark, df.where("false"), "").count() == 0
 
 
+def test_buckets_of_the_same_nodes_are_compared_once(spark, monkeypatch):
+    held = {}
+
+    def keep(df, name):
+        held[name] = df.localCheckpoint()
+        return held[name]
+
+    monkeypatch.setattr(simhash, "materialize", keep)
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text), (2, text + " x"), (3, "y " + text), (4, "alone")], "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.similar(df, 5, 28, 10, (4, 5)).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+    # ten minhashes, nearly all of them shared: the same two or three nodes meet in one bucket, not in ten
+    buckets = [sorted(x.id for x in held["units"].where((held["units"].block == b) & (held["units"].value == v)).collect()) for b, v in held["units"].select("block", "value").distinct().collect()]
+    assert len(buckets) == len(set(map(tuple, buckets))) <= 4
+
+
 def brute_removal(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))

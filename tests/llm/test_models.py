@@ -223,3 +223,11 @@ def test_sql_agrees(spark, data, name):
     columns = [c[0] for c in result.description]
     df = registry.queries()[name](spark, data).select(*columns)
     assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, result.fetchall()))
+
+
+def test_features_of_the_classifier_are_held_in_few_bytes():
+    kinds = list(toxicity.traits([["idiot", "words", "wordsmith"], ["words", "other"]]))
+    assert [k[0] for k in kinds] == ["#", "=", "", "", "", ""]
+    assert all(sum(x.itemsize for x in k[2:]) <= 9 for k in kinds)
+    heads = {(kinds[2][1][f], t): c for t, f, c in zip(*(x.tolist() for x in kinds[2][2:]), strict=True)}
+    assert heads == {("idio", 0): 1, ("word", 0): 2, ("word", 1): 1, ("othe", 1): 1}
