@@ -241,6 +241,30 @@ def test_hot_groups_of_bytes_go_through_the_index(spark, monkeypatch, block):
     assert all(len(g) == 1 or sum(map(len, g)) <= block for g in groups.values())
 
 
+def test_splitting_a_hot_group_does_not_follow_its_copies(spark, monkeypatch):
+    monkeypatch.setattr(runindex, "BLOCK", 3000)
+    made, keep = {}, runindex.materialize
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(runindex, "materialize", counted)
+    r = random.Random(4)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    hot = text(440)
+    texts = [text(r.randrange(60, 300)) + hot + text(r.randrange(60, 300)) for _ in range(12)]
+    counts = []
+    for copies in (2, 6):
+        made.clear()
+        rows = list(enumerate(texts * copies))
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert {x.n_removed for x in runindex.dedup_bytes(df.where("doc_id < 12").unionByName(df.where("doc_id >= 12"))).collect()} == {len(t) for t in texts}
+        counts.append({k: n for k, n in made.items() if k not in ("spans", "cuts", "hits")})
+    assert counts[0]["parts"] > 0 and counts[0] == counts[1]
+
+
 def test_a_block_goes_through_the_index_whatever_its_size(monkeypatch):
     monkeypatch.setattr(runindex, "BLOCK", 10)
     monkeypatch.setattr(runindex, "by_hash", None)
