@@ -2,10 +2,11 @@
 
 Four exact base rules find e-mail addresses, IPv4 addresses, payment cards and phone numbers; what they find
 stays. Looser generators propose further spans of these kinds and of secrets, of any length. Gradient-boosted
-trees score each by its format and its context. They are trained on a bounded sample of the documents: on the
+trees score each by its format and its context. They are trained on all documents: on the
 documents' own candidates, labelled where a rule is sure (a base rule holds or fails, a checksum, a random-looking
 or a plain value), and on data and look-alikes planted between the words of those documents, so that the contexts
-are the corpus's own. Per kind, the least threshold that holds the wanted precision on examples kept apart
+are the corpus's own. The documents are scanned once; each level of a tree is a pass over the candidates' binned
+features, of which every task returns sums of bounded size, in whole numbers, so that no order of rows matters. Per kind, the least threshold that holds the wanted precision on examples kept apart
 selects spans, best first, none overlapping a span already taken.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches
+from millrace.llm.common import batches, materialize, release
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -49,8 +50,14 @@ CUES = {
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "secret": ("key", "token", "password", "secret", "login"),
 }
-#: Documents whose candidates train the trees, candidates taken from them, and rule-made texts beside them, at most.
-SAMPLE_DOCS, SAMPLE_SPANS, MADE = 4_000, 20_000, 600
+#: Rule-made texts beside the documents.
+MADE = 600
+#: Features that are shares; fixed bounds of the bins of shares and of all others. No feature's bins follow the data.
+SHARES = (6, 18)
+SHARE_BINS = tuple(i / 30 for i in range(31))
+COUNT_BINS = (*range(17), 18, 20, 24, 28, 32, 35, 36, 39, 40, 48, 63, 64, 80, 100, 128, 200, 256, 512)
+#: Trees trained on all documents, and how finely gradients and scores are counted.
+ROUNDS, RATE, UNIT, SCORES = 20, 0.4, 2.0**20, 1000
 #: Code points of context on either side that a candidate's features may look at.
 BEFORE, AFTER = 40, 20
 #: Precision that a kind's threshold must hold on the examples kept apart.
@@ -256,11 +263,14 @@ class Trees:
     def score(self, x):
         import numpy as np
 
-        if not len(x):
-            return np.zeros(0)
-        b, f, rows = self.binned(x), np.full(len(x), self.start), np.arange(len(x))
+        return self.score_bins(self.binned(x)) if len(x) else np.zeros(0)
+
+    def score_bins(self, b):
+        import numpy as np
+
+        f, rows = np.full(len(b), self.start), np.arange(len(b))
         for tree, value in self.trees:
-            node = np.zeros(len(x), np.int64)
+            node = np.zeros(len(b), np.int64)
             for split in tree:
                 node = node * 2 + (b[rows, split[node, 0]] > split[node, 1])
             f += self.rate * value[node]
@@ -273,11 +283,15 @@ def candidates(text: str) -> list[tuple[int, int, int, int]]:
     1: a base rule holds, the checksum of a long number holds, an assigned value mixes digits and letters over 16
     characters. 0: the checksum fails, part of something of another kind, an assigned value of small letters only.
     """
-    base = base_spans(text)
+    return labelled(text, base_spans(text), proposals(text))
+
+
+def labelled(text: str, base: list, found: list) -> list[tuple[int, int, int, int]]:
+    """`candidates` of a text whose base spans and proposals are known."""
     every = Taken((a, b) for _, a, b in base)
     own = [Taken((a, b) for k, a, b in base if k == kind) for kind in range(len(KINDS))]
     out = [(k, a, b, 1) for k, a, b in base]
-    for k, a, b in proposals(text):
+    for k, a, b in found:
         same, s = every.hits(a, b), text[a:b]
         digits = "".join(c for c in s if "0" <= c <= "9")
         if not same and k == 2 and len(digits) >= 13:
@@ -291,45 +305,131 @@ def candidates(text: str) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Trees, list[float]]:
-    """(trees, threshold by kind), from a bounded sample of the documents. Runs Spark jobs when called."""
+def bounds() -> list:
+    """The bounds of each feature's bins."""
     import numpy as np
 
-    ids = docs.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key), key).limit(SAMPLE_DOCS)
+    return [np.array(SHARE_BINS if j in SHARES else COUNT_BINS, float) for j in range(len(features("", 0, 0, 0)))]
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: base and extra spans (kind, start, end one after the other), the extra ones' binned features, and
+    the binned features and labels of the rows that it trains with; apart says that these rows are kept for thresholds."""
 
     def run(stream) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
-        for batch in batches(stream, 512, 4_000_000, text):
-            rows = []
+        edges = bounds()
+
+        def binned(x: list) -> bytes:
+            return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, np.array(x).T, strict=True)], axis=1).astype(np.uint8).tobytes() if x else b""
+
+        kinds = [pa.list_(pa.int32())] * 2 + [pa.binary()] * 3 + [pa.bool_()]
+        for batch in batches(stream, 1024, 4_000_000, text):
+            out = []
             for t in batch.column(text).to_pylist():
                 t = t or ""
-                rows += [(features(t, k, a, b), y) for k, a, b, y in candidates(t)]
-                r = random.Random(hashlib.sha256(t.encode()).digest())
-                rows += planted_rows(t, r)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.list_(pa.float64())), pa.array([y for _, y in rows], pa.int32())], ["x", "y"])
+                base, found = base_spans(t), proposals(t)
+                taken = Taken((a, b) for _, a, b in base)
+                extra = [c for c in found if not taken.hits(c[1], c[2])]
+                seed = hashlib.sha256(t.encode()).digest()
+                rows = [(features(t, k, a, b), y) for k, a, b, y in labelled(t, base, found)] + planted_rows(t, random.Random(seed))
+                out.append(([x for c in base for x in c], [x for c in extra for x in c], binned([features(t, *c) for c in extra]), binned([x for x, _ in rows]), bytes(y for _, y in rows), seed[0] % 5 == 0))
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "base", "extra", "bins", "x", "y", "apart"])
+
+    return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, "doc_id long, base array<int>, extra array<int>, bins binary, x binary, y binary, apart boolean")
+
+
+def summed(found: DataFrame, one, made: tuple):
+    """The sum over all training rows of one(bins, labels, apart), an array of whole numbers; made: rows beside the documents'."""
+    width = len(made[0][0])
+
+    def run(stream) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        total = 0
+        for batch in stream:
+            xs, ys, apart = (batch.column(c).to_pylist() for c in ("x", "y", "apart"))
+            if y := b"".join(ys):
+                total = total + one(np.frombuffer(b"".join(xs), np.uint8).reshape(-1, width), np.frombuffer(y, np.uint8), np.repeat(apart, [len(v) for v in ys]))
+        if not isinstance(total, int):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    import numpy as np
+
+    total = one(*made)
+    for r in found.select("x", "y", "apart").coalesce(found.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "sums binary").collect():
+        total = total + np.frombuffer(r["sums"], total.dtype).reshape(total.shape)
+    return total
+
+
+def fit(found: DataFrame) -> tuple[Trees, list[float]]:
+    """(trees, threshold by kind) from all rows that `scan` made. Runs a Spark job for each level of each tree."""
+    import numpy as np
 
-    found = docs.select(key, F.col(text).cast("string").alias(text)).join(F.broadcast(ids), key).mapInArrow(run, "x array<double>, y int")
-    found = sorted((tuple(r["x"]), r["y"]) for r in found.orderBy(F.xxhash64("x"), "y").limit(SAMPLE_SPANS).collect())
     r = random.Random(17)
     words = ["".join(r.choice("abcdefghilmnoprstuvw") for _ in range(r.randint(2, 8))) for _ in range(200)]
-    made = [row for _ in range(MADE) for row in planted_rows(" ".join(r.choice(words) for _ in range(12)), r)]
-    x, y = np.array([list(a) for a, _ in found] + [a for a, _ in made]), np.array([b for _, b in found] + [b for _, b in made], float)
-    order = np.random.default_rng(5).permutation(len(y))
-    x, y = x[order], y[order]
-    apart = np.arange(len(y)) % 5 == 0
-    trees = Trees(x[~apart], y[~apart])
-    p, yes, kind = trees.score(x[apart]), y[apart], x[apart][:, 0]
+    rows = [row for _ in range(MADE) for row in planted_rows(" ".join(r.choice(words) for _ in range(12)), r)]
+    trees = Trees.__new__(Trees)
+    trees.edges, trees.trees, trees.rate, trees.depth, trees.start = bounds(), [], RATE, 3, 0.0
+    made = trees.binned(np.array([x for x, _ in rows])).astype(np.uint8), np.array([y for _, y in rows], np.uint8), np.arange(len(rows)) % 5 == 0
+    m, width = made[0].shape[1], max(map(len, trees.edges)) + 1
+
+    def classes(b, y, apart):
+        return np.bincount(y[~apart], minlength=2)[:2].astype(float)
+
+    none, some = summed(found, classes, made)
+    p0 = min(max(some / (none + some), 1e-3), 1 - 1e-3)
+    trees.start = float(np.log(p0 / (1 - p0)))
+    for _ in range(ROUNDS):
+        tree: list = []
+        for level in range(trees.depth):
+            n = 2**level
+
+            def slopes(b, y, apart, tree=tuple(tree), n=n):
+                b, y = b[~apart], y[~apart]
+                p = trees.score_bins(b)
+                node = np.zeros(len(b), np.int64)
+                for split in tree:
+                    node = node * 2 + (b[np.arange(len(b)), split[node, 0]] > split[node, 1])
+                sums = [np.rint(v * UNIT) for v in (p - y, p * (1 - p))]
+                return np.stack([[np.bincount(node * width + b[:, j], weights=v, minlength=n * width) for j in range(m)] for v in sums])
+
+            g, h = np.cumsum(summed(found, slopes, made).reshape(2, m, n, width), axis=3) / UNIT
+            gl, hl, gt, ht = g[..., :-1], h[..., :-1], g[..., -1:], h[..., -1:]
+            gain = (gl**2 / (hl + 1) + (gt - gl) ** 2 / (ht - hl + 1) - gt**2 / (ht + 1)).transpose(1, 0, 2).reshape(n, -1)
+            k = gain.argmax(axis=1)
+            split = np.stack([k // (width - 1), k % (width - 1)], axis=1)
+            split[gain.max(axis=1) <= 1e-9] = 0, width - 1
+            tree.append(split)
+        at = np.arange(n)
+        sides = [(v[split[:, 0], at, split[:, 1]], v[split[:, 0], at, -1]) for v in (g, h)]
+        gs, hs = (np.stack([left, both - left], axis=1).ravel() for left, both in sides)
+        trees.trees.append((tree, -gs / (hs + 1)))
+
+    def scores(b, y, apart):
+        p = np.minimum((trees.score_bins(b[apart]) * SCORES).astype(np.int64), SCORES - 1)
+        return np.bincount((b[apart][:, 0].astype(np.int64) * SCORES + p) * 2 + y[apart], minlength=len(KINDS) * SCORES * 2).astype(float)
+
     limits = []
-    for k in range(len(KINDS)):
-        own = np.flatnonzero(kind == k)
-        own = own[np.argsort(-p[own], kind="stable")]
-        hits = np.cumsum(yes[own]) / (np.arange(len(own)) + 1)
-        good = np.flatnonzero(hits >= PRECISION)
-        limits.append(max(0.5, float(p[own][good[-1]])) if len(good) else 2.0)
+    for counts in summed(found, scores, made).reshape(len(KINDS), SCORES, 2):
+        wrong, right = np.cumsum(counts[::-1], axis=0).T
+        good = np.flatnonzero((counts[::-1].sum(axis=1) > 0) & (right >= PRECISION * (right + wrong)))
+        limits.append(max(0.5, (SCORES - 1 - int(good[-1])) / SCORES) if len(good) else 2.0)
     return trees, limits
 
 
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Trees, list[float]]:
+    """(trees, threshold by kind) from all documents. Runs Spark jobs when called."""
+    found = materialize(scan(docs, key, text), "found")
+    out = fit(found)
+    release(found)
+    return out
+
+
 def measure(texts: list[str], trees: Trees, limits: list[float], seed: int = 99) -> dict:
     """Per kind (data planted, of these selected whole, look-alikes planted, of these selected), with data the trees have not seen."""
     r, out = random.Random(seed), {k: [0, 0, 0, 0] for k in KINDS}
@@ -351,13 +451,17 @@ def select(text: str, trees: Trees, limits: list[float]) -> tuple[list, list]:
         return base, base
     import numpy as np
 
-    p = trees.score(np.array([features(text, *c) for c in extra]))
-    added = []
+    return base, chosen(base, extra, trees.score(np.array([features(text, *c) for c in extra])), limits)
+
+
+def chosen(base: list, extra: list, p, limits: list[float]) -> list:
+    """The base spans and, best first, the extra ones that reach their kind's limit and overlap none taken."""
+    taken, added = Taken((a, b) for _, a, b in base), []
     for score, c in sorted(zip(p.tolist(), extra, strict=True), key=lambda z: (-z[0], z[1])):
         if score >= limits[c[0]] and not taken.hits(c[1], c[2]):
             taken.add(c[1], c[2])
             added.append(c)
-    return base, sorted(base + added)
+    return sorted(base + added)
 
 
 def spell(spans: list) -> str:
@@ -372,17 +476,25 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     whether there is any. Null and empty texts have none; repeated rows give equal rows; a null key stays null; an
     empty table gives no rows; other columns are left out. Training runs Spark jobs when this is called.
     """
-    trees, limits = train(docs, key, text)
+    found = materialize(scan(docs, key, text), "found")
+    trees, limits = fit(found)
+    width = len(trees.edges)
 
     def run(stream) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
-        for batch in batches(stream, 1024, 4_000_000, text):
-            out = []
-            for t in batch.column(text).to_pylist():
-                base, spans = select(t or "", trees, limits)
+        for batch in stream:
+            out, at = [], 0
+            bases, extras, bins = (batch.column(c).to_pylist() for c in ("base", "extra", "bins"))
+            p = trees.score_bins(np.frombuffer(b"".join(bins), np.uint8).reshape(-1, width))
+            for base, extra in zip(bases, extras, strict=True):
+                base, extra = ([tuple(x[i : i + 3]) for i in range(0, len(x), 3)] for x in (base, extra))
+                spans = chosen(base, extra, p[at : at + len(extra)], limits) if extra else base
+                at += len(extra)
                 n = [sum(k == i for k, _, _ in base) for i in range(4)]
                 out.append((*n, hashlib.sha256(spell(base).encode()).hexdigest(), spell(spans), sum(k == 4 for k, _, _ in spans), len(spans), bool(spans)))
-            yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 2 + [pa.bool_()], strict=True))], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_secret", "n_spans", "has_personal"])
+            columns = list(zip(*out, strict=True)) or [[]] * 9
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 2 + [pa.bool_()], strict=True))], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_secret", "n_spans", "has_personal"])
 
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_spans long, has_personal boolean")
+    return found.select("doc_id", "base", "extra", "bins").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_spans long, has_personal boolean")

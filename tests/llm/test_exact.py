@@ -241,6 +241,15 @@ def test_hot_groups_of_bytes_go_through_the_index(spark, monkeypatch, block):
     assert all(len(g) == 1 or sum(map(len, g)) <= block for g in groups.values())
 
 
+def test_personal_data_trains_on_every_document(spark):
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["lo", "mip", "sat"]) for _ in range(9)) for _ in range(4300)]
+    found = pii.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).localCheckpoint()
+    made = np.zeros((1, len(pii.bounds())), np.uint8), np.zeros(1, np.uint8), np.zeros(1, bool)
+    n = pii.summed(found, lambda b, y, apart: np.array([float(len(y))]), made)[0] - 1
+    assert n == sum(len(pii.planted_rows(t, random.Random(hashlib.sha256(t.encode()).digest()))) for t in texts) > 4000
+
+
 def test_splitting_a_hot_group_does_not_follow_its_copies(spark, monkeypatch):
     monkeypatch.setattr(runindex, "BLOCK", 3000)
     made, keep = {}, runindex.materialize
