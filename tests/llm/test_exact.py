@@ -207,6 +207,19 @@ def test_byte_repeats_equal_brute_force(spark, docs, rows, empty):
     assert sorted((r.n_bytes, r.n_removed) for r in runindex.dedup_bytes(twice).collect()) == [(5, 0), (601, 601), (601, 601)]
 
 
+def test_a_passage_goes_from_the_length_on_whatever_its_words(spark):
+    r = random.Random(6)
+    words = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 7))) for _ in range(n))
+    passages = [words(100)[: n - 2] + "xy" for n in (300, 399, 400)]
+    assert [len(p) for p in passages] == [300, 399, 400] and all(len(p.split()) > 50 for p in passages)
+    # The bytes beside the two copies differ, so that the repeat is the passage alone.
+    texts = [words(30) + side + p + side + words(30) for p in passages for side in "<>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for length, gone in ((400, [0, 0, 0, 0, 400, 400]), (256, [300, 300, 399, 399, 400, 400])):
+        got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in runindex.dedup_bytes(df, length=length).collect()}
+        assert got == dict(enumerate(brute_removal(texts, length))) and [got[i][1] for i in range(6)] == gone
+
+
 def test_run_index_marks_like_brute_force():
     r = random.Random(3)
     for _ in range(300):
